@@ -12,8 +12,9 @@ from shelfcast.functions import numeric
 
 # Chat-role tokens taken out of free text. The first form ends in a word
 # boundary after the token, so "user: hi" keeps its token; the second form drops that rule.
-ROLE_TOKENS = r"(?i)\b(system:|user:|assistant:|<\/?(system|user|assistant)>|\\n\\n)\b"
-ROLE_TOKENS_LOOSE = r"(?i)(\b(system|user|assistant):|<\/?(system|user|assistant)>|\\n\\n)"
+# Word boundaries and case follow Unicode.
+ROLE_TOKENS = r"(?iU)\b(system:|user:|assistant:|<\/?(system|user|assistant)>|\\n\\n)\b"
+ROLE_TOKENS_LOOSE = r"(?iU)(\b(system|user|assistant):|<\/?(system|user|assistant)>|\\n\\n)"
 
 
 def sanitise(text: Column, max_len: int = 256, pattern: str = ROLE_TOKENS) -> Column:
