@@ -31,6 +31,11 @@ def ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0.0))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation as an aggregate; null for a constant column, where ``F.corr`` fails."""
+    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import ratio
 from shelfcast.operators.ordered import running_totals
+from shelfcast.operators.sizing import value_of
 
 
 def to_long(
@@ -67,14 +68,13 @@ def histogram(
     data's own minimum and maximum are used."""
     data = df.select(F.col(value).cast("double").alias("value")).where(F.col(value).isNotNull())
     if lower is None or upper is None:
-        edges = data.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        data = data.crossJoin(F.broadcast(edges))
+        edges = value_of(data, F.min("value").alias("lo"), F.max("value").alias("hi"))
+        lo, hi = edges["lo"], edges["hi"]
     else:
-        data = data.withColumns({"lo": F.lit(float(lower)), "hi": F.lit(float(upper))})
+        lo, hi = F.lit(float(lower)), F.lit(float(upper))
         data = data.where(F.col("value").between(lower, upper))
-    return data.groupBy(bin_number(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin")).agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    binned = data.select(bin_number(F.col("value"), lo, hi, bins).alias("bin"))
+    return binned.groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
 
 
 def bin_number(value: Column, lo: Column, hi: Column, bins: int) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import errors as E
 from shelfcast.functions.numeric import clip, ratio
+from shelfcast.functions.numeric import correlation as pearson
 from shelfcast.operators.windows import naive_baseline
 from shelfcast.spec import SALES, PanelSpec
 
@@ -154,7 +155,7 @@ def daily_accuracy(pairs: DataFrame) -> DataFrame:
 
 def correlation(df: DataFrame, features: Sequence[str], target: str = "sales") -> DataFrame:
     """(feature, abs correlation with the target), all features in one pass."""
-    wide = df.agg(*[F.abs(F.corr(F.col(c).cast("double"), target)).alias(c) for c in features])
+    wide = df.agg(*[F.abs(pearson(F.col(c).cast("double"), F.col(target))).alias(c) for c in features])
     return wide.unpivot([], list(features), "feature", "abs_corr")
 
 

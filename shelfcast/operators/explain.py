@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import first_match, ratio, round_to
 from shelfcast.functions.text import FAMILY_SHARE, FAMILY_SHARE_DEFAULT
+from shelfcast.operators.sizing import value_of
 
 # Share of a forecast that counts as its base.
 BASE_SHARE = 0.6
@@ -82,7 +83,8 @@ def explain(df: DataFrame) -> DataFrame:
         *[_item(labels[k][0], round_to(p * w, 2), labels[k][1]) for k, w in weights.items()]
     )
     raw = df.withColumn("__items", items)
-    total = F.aggregate("__items", F.lit(0.0), lambda acc, x: acc + x["contribution"])
+    # the parts are whole cents, so rounding their sum only removes binary noise around zero
+    total = round_to(F.aggregate("__items", F.lit(0.0), lambda acc, x: acc + x["contribution"]), 2)
     scaled = raw.withColumn("__scale", F.coalesce(ratio(p - p * BASE_SHARE, total), F.lit(1.0)))
     final = F.transform(
         "__items", lambda x: _item(x["feature"], round_to(x["contribution"] * F.col("__scale"), 2), x["value"])
@@ -172,21 +174,18 @@ def importance_contributions(
     importance for every forecast, so the top features are chosen once.
     """
     value = F.col("importance_value")
-    total = importance.agg(F.sum("importance_value").alias("__total"))
-    order = Window.orderBy(F.desc(F.abs(value)), "feature_name")  # one row per feature
-    share = F.coalesce(ratio(value, F.col("__total")), F.lit(0.0))
-    chosen = (
-        importance.crossJoin(F.broadcast(total))
-        .select("feature_name", share.alias("__share"), F.row_number().over(order).alias("position"))
-        .where(F.col("position") <= top)
-    )
+    share = F.coalesce(ratio(value, value_of(importance, F.sum("importance_value"))), F.lit(0.0))
+    ranked = importance.select("feature_name", "importance_value", share.alias("__share"))
+    chosen = ranked.orderBy(F.desc(F.abs(value)), "feature_name").limit(top)
+    # at most `top` entries, one small array for the whole table
+    entry = F.struct((-F.abs(value)).alias("k"), F.col("feature_name").alias("f"), F.col("__share").alias("s"))
+    entries = value_of(chosen, F.sort_array(F.collect_list(entry)))
     p = F.col("predicted_sales")
-    # at most `top` rows beside each forecast: the result itself, not an intermediate blow-up
-    return predictions.crossJoin(F.broadcast(chosen)).select(
+    return predictions.select(*predictions.columns, F.posexplode(entries).alias("__at", "__e")).select(
         *predictions.columns,
-        F.col("feature_name").alias("feature"),
-        "position",
-        ((p - p * BASE_SHARE) * F.col("__share")).alias("contribution"),
+        F.col("__e.f").alias("feature"),
+        (F.col("__at") + 1).alias("position"),
+        ((p - p * BASE_SHARE) * F.col("__e.s")).alias("contribution"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.ordered import ordered_index
-from shelfcast.operators.sizing import attach, by_day, one_row, sized
+from shelfcast.operators.sizing import attach, by_day, sized, value_of
 from shelfcast.operators.windows import LAGS, fill_gaps, lags
 
 LOCALES = ("National", "Regional", "Local")
@@ -145,7 +145,8 @@ def join_weather(
 def densify(df: DataFrame, keys: Sequence[str] = ("store_nbr", "family")) -> DataFrame:
     """One row per series and calendar day; sales of absent days are 0."""
     series = df.select(*keys).distinct()
-    grid = series.crossJoin(F.broadcast(calendar(df)))  # calendar: one row per day
+    days = value_of(df, F.min("date").alias("lo"), F.max("date").alias("hi"))
+    grid = series.withColumn("date", F.explode(F.sequence(days["lo"], days["hi"])))
     return grid.join(df, [*keys, "date"], "left").fillna(0)
 
 
@@ -169,15 +170,15 @@ def target_encode(
     """Replace nothing, add the category mean of the target; unseen categories get the overall
     mean. ``train`` restricts the fit to other rows than those encoded."""
     source = df if train is None else train
-    out = one_row(df, source.agg(F.avg(target).alias("__overall")))
+    overall, out = value_of(source, F.avg(target)), df
     for column in columns:
         fitted = fit_target_encoding(source, column, target)
         mean, count = f"{column}_{target}_mean", f"{column}_count"
         out = attach(out, fitted if with_count else fitted.drop(count), column)
-        out = out.withColumn(mean, F.coalesce(mean, "__overall"))
+        out = out.withColumn(mean, F.coalesce(F.col(mean), overall))
         if with_count:
             out = out.fillna(0, subset=[count])
-    return out.drop("__overall")
+    return out
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
@@ -233,9 +234,8 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, columns: Sequence[str]) -> DataFrame:
-    out = one_row(df, scaler)
-    scaled = {c: (F.col(c) - F.col(f"{c}__mean")) / F.col(f"{c}__std") for c in columns}
-    return out.withColumns(scaled).drop(*scaler.columns)
+    fitted = scaler.select(F.struct(*scaler.columns)).scalar()
+    return df.withColumns({c: (F.col(c) - fitted[f"{c}__mean"]) / fitted[f"{c}__std"] for c in columns})
 
 
 def common_columns(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:

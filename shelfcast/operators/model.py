@@ -101,7 +101,8 @@ def train_with_early_stop(
     gbt: GBTRegressor | None = None,
 ) -> PipelineModel:
     """Stop boosting once the error on the rows marked by ``validation`` no longer improves."""
-    booster = (gbt or regressor()).setValidationIndicatorCol("__valid").setValidationTol(tolerance)
+    booster = (gbt or regressor()).setValidationIndicatorCol("__valid")
+    booster = booster.setParams(validationTol=tolerance)
     return train(df.withColumn("__valid", validation), features, booster)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import numeric_columns, ratio, string_columns
 from shelfcast.operators.distribution import bin_number, describe, ks_statistic, to_long
+from shelfcast.operators.sizing import value_of
 from shelfcast.sources.sinks import fixed_sample
 
 # Thresholds of the drift rules.
@@ -227,10 +228,10 @@ def data_alert(
         categorical.select("feature", F.col("js_divergence").alias("statistic"), "drift_detected")
     )
     # one entry per monitored column
-    features = detail.agg(
-        F.array_sort(F.collect_list(F.struct("feature", "statistic", "drift_detected"))).alias("features")
+    entries = F.array_sort(F.collect_list(F.struct("feature", "statistic", "drift_detected")))
+    row = score.where("drift_detected").withColumns(
+        {"n_rows": n_rows.scalar(), "features": value_of(detail, entries)}
     )
-    row = score.crossJoin(F.broadcast(features)).crossJoin(F.broadcast(n_rows))  # single rows
     data = F.struct(
         F.col("n_rows").cast("bigint").alias("n_rows"),
         "overall_drift_score",
@@ -238,7 +239,7 @@ def data_alert(
         "features",
         F.lit(None).cast("array<string>").alias("degraded_metrics"),
     )
-    return _alert(row.where("drift_detected"), "data_drift", model, at, data)
+    return _alert(row, "data_drift", model, at, data)
 
 
 def performance_alert(drift: DataFrame, model: str, at: Column) -> DataFrame:

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.sizing import value_of
+
 _CUTS = "__cuts"
 _RANGE = "__range"
 MAX_RANGES = 2048
@@ -30,11 +32,6 @@ def range_count(df: DataFrame) -> int:
     return max(8, min(MAX_RANGES, 2 * width))
 
 
-def _join_on(left: DataFrame, right: DataFrame, by: Sequence[str], small: bool) -> DataFrame:
-    right = F.broadcast(right) if small else right
-    return left.join(right, list(by), "left") if by else left.crossJoin(right)
-
-
 def with_ranges(
     df: DataFrame, by: Sequence[str], order: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
@@ -42,15 +39,14 @@ def with_ranges(
     n = ranges or range_count(df)
     columns = [*by, *order]
     point = F.struct(*order)
-    sample = (
-        df.select(*columns)
-        .orderBy(F.xxhash64(*columns), *columns)
-        .limit(n)
-        .groupBy(*by)
-        .agg(F.array_sort(F.collect_list(point)).alias(_CUTS))
-    )
-    # at most n sampled rows, so the cut table is always small enough to send everywhere
-    joined = _join_on(df, sample, by, small=True)
+    sample = df.select(*columns).orderBy(F.xxhash64(*columns), *columns).limit(n)
+    cuts = F.array_sort(F.collect_list(point))
+    if by:
+        # at most n sampled rows, so the cut table is always small enough to send everywhere
+        table = sample.groupBy(*by).agg(cuts.alias(_CUTS))
+        joined = df.join(F.broadcast(table), list(by), "left")
+    else:
+        joined = df.withColumn(_CUTS, value_of(sample, cuts))
     below = F.size(F.filter(F.col(_CUTS), lambda cut: cut < point))
     return joined.withColumn(_RANGE, F.coalesce(below, F.lit(0))).drop(_CUTS)
 
@@ -92,7 +88,7 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     out = ranged.withColumns({f"__in_{m}": F.sum(col).over(inside) for m, col in measures.items()})
-    out = _join_on(out, offsets, spots, small=few_groups)
+    out = out.join(F.broadcast(offsets) if few_groups else offsets, spots, "left")
     out = out.withColumns({m: F.col(f"__in_{m}") + F.col(f"__before_{m}") for m in measures})
     return out.drop(_RANGE, *[f"__{k}_{m}" for m in measures for k in ("in", "before")])
 

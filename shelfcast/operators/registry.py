@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators.features import apply_scaler, fit_categories, fit_scaler, one_hot
+from shelfcast.operators.sizing import value_of
 from shelfcast.schemas import schema
 
 
@@ -41,9 +42,8 @@ def list_features(registry: DataFrame, entity_type: str | None = None) -> DataFr
 
 def make_groups(groups: DataFrame, registry: DataFrame) -> DataFrame:
     """Feature groups with members the registry does not know taken out, order kept."""
-    known = registry.agg(F.collect_set("name").alias("__known"))  # one row, names of features
-    checked = groups.crossJoin(F.broadcast(known))
-    return checked.withColumn("features", F.array_intersect("features", "__known")).drop("__known")
+    known = value_of(registry, F.collect_set("name"))  # names of features
+    return groups.withColumn("features", F.array_intersect(F.col("features"), known))
 
 
 def group_union(groups: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import evaluate
 from shelfcast.operators.distribution import quantiles
 from shelfcast.operators.features import active_holidays, flag_dates, join_oil
-from shelfcast.operators.sizing import attach
+from shelfcast.operators.sizing import attach, value_of
 from shelfcast.sources.sinks import latest_rows
 
 
@@ -27,10 +27,9 @@ def lookback(
     if isinstance(as_of, dt.date):
         start = F.date_sub(F.lit(as_of), days)
         return df.where(F.col(time) > start if strict else F.col(time) >= start)
-    anchor = df.agg(F.max(time).alias("as_of")) if as_of is None else as_of
-    start = F.date_sub("as_of", days)
-    kept = df.crossJoin(F.broadcast(anchor))
-    return kept.where(F.col(time) > start if strict else F.col(time) >= start).drop("as_of")
+    anchor = value_of(df, F.max(time)) if as_of is None else as_of.scalar()
+    start = F.date_sub(anchor, days)
+    return df.where(F.col(time) > start if strict else F.col(time) >= start)
 
 
 def where_keys(df: DataFrame, **keys: object) -> DataFrame:
@@ -127,8 +126,8 @@ def store_top(
 
 def growth(facts: DataFrame, by: str, days: int, as_of: DataFrame) -> DataFrame:
     """Sales of the last ``days`` days against the equal period before, one pass."""
-    age = F.datediff("as_of", "date")
-    dated = facts.crossJoin(F.broadcast(as_of)).where((age > 0) & (age <= 2 * days))
+    age = F.datediff(as_of.scalar(), "date")
+    dated = facts.where((age > 0) & (age <= 2 * days))
     sums = dated.groupBy(by).agg(
         F.sum(F.when(age <= days, F.col("sales")).otherwise(0.0)).alias("recent_sales"),
         F.sum(F.when(age > days, F.col("sales")).otherwise(0.0)).alias("earlier_sales"),
@@ -139,21 +138,19 @@ def growth(facts: DataFrame, by: str, days: int, as_of: DataFrame) -> DataFrame:
 
 def kpi_summary(facts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Stores, families, mean sales and forecast accuracy in one row."""
-    base = facts.agg(
+    accuracy = evaluate.accuracy_summary(pairs).select("forecast_accuracy")
+    return facts.agg(
         F.count_distinct("store_id").alias("total_stores"),
         F.count_distinct("family_id").alias("total_families"),
         F.avg("sales").alias("avg_sales"),
-    )
-    accuracy = evaluate.accuracy_summary(pairs).select("forecast_accuracy")
-    return base.crossJoin(F.broadcast(accuracy))  # both sides are single rows
+    ).withColumn("forecast_accuracy", accuracy.scalar())
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row counts of the four core tables and whether there is enough data to train."""
-    one = None
-    for name, df in tables.items():
-        part = df.agg(F.count(F.lit(1)).alias(name))
-        one = part if one is None else one.crossJoin(F.broadcast(part))  # single rows
+    (first, df), *rest = tables.items()
+    one = df.agg(F.count(F.lit(1)).alias(first))
+    one = one.withColumns({name: value_of(other, F.count(F.lit(1))) for name, other in rest})
     enough = (
         (F.col("stores_count") > 0) & (F.col("families_count") > 0) & (F.col("sales_records") > 0)
     )

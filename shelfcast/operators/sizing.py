@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -28,9 +28,13 @@ def attach(
     return fact.join(sized(dim, max_rows), on, how)
 
 
-def one_row(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Attach a single-row aggregate to every row."""
-    return df.crossJoin(F.broadcast(scalar))
+def value_of(df: DataFrame, *exprs: Column) -> Column:
+    """A total of ``df`` as a column: one expression gives its value, several give a struct.
+
+    It is a scalar subquery, computed once and usable in filters that reach the scan.
+    """
+    named = df.agg(*exprs)
+    return (named if len(exprs) == 1 else named.select(F.struct(*named.columns))).scalar()
 
 
 def by_day(df: DataFrame, daily: DataFrame, how: str = "left", on: str = "date") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.numeric import correlation
 from shelfcast.operators import distribution, evaluate, monitor, report
 from shelfcast.operators import features as B
 from shelfcast.operators.model import select_features
@@ -92,7 +93,7 @@ def _(r: Retail) -> DataFrame:
 @query("agg_oil_correlation", f"SELECT {rd('corr(sales, dcoilwtico)')} AS correlation FROM ({DAILY_OIL_SQL})")
 def _(r: Retail) -> DataFrame:
     relation = report.oil_relation(r.sales(), r.oil())
-    return rounded(relation.agg(F.corr("sales", "dcoilwtico").alias("correlation")))
+    return rounded(relation.agg(correlation(F.col("sales"), F.col("dcoilwtico")).alias("correlation")))
 
 
 LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -543,22 +544,21 @@ _BASELINES = ", ".join(f"('{k}', {v})" for k, v in B.FAMILY_BASELINES.items())
     "agg_cold_start",
     f"""SELECT store_nbr, family, {rd('coalesce(nullif(m, 0), b * (0.5 + (store_nbr % 10) * 0.15), 15 + h / 100.0 * 40)')}
        AS predicted_sales
-FROM (SELECT s.store_nbr, f.family, CAST(list_sum(list_transform(string_split(f.family, ''), lambda c: ascii(c))) % 100 AS DOUBLE) AS h
-      FROM t_stores s CROSS JOIN (SELECT DISTINCT p_brand AS family FROM part UNION SELECT name FROM t_families
-                                  UNION SELECT 'PRODUCE' UNION SELECT 'BOOKS') f)
+FROM (SELECT DISTINCT store_nbr, family, CAST(list_sum(list_transform(string_split(family, ''), lambda c: ascii(c))) % 100 AS DOUBLE) AS h
+      FROM (SELECT CAST(p_partkey % 25 AS INTEGER) AS store_nbr, CASE p_partkey % 4 WHEN 0 THEN p_type
+              WHEN 1 THEN p_brand WHEN 2 THEN 'PRODUCE' ELSE 'BOOKS' END AS family FROM part))
 LEFT JOIN (SELECT store_nbr, family, avg(sales) AS m FROM t_sales GROUP BY 1, 2) USING (store_nbr, family)
 LEFT JOIN (SELECT family, CAST(b AS DOUBLE) AS b FROM (VALUES {_BASELINES}) v(family, b)) USING (family)""",
 )
 def _(r: Retail) -> DataFrame:
-    """Every store asks for families with history, with a baseline only, and with neither."""
-    names = (
-        r.raw("part").select(F.col("p_brand").alias("family"))
-        .unionByName(r.families().select(F.col("name").alias("family")))
-        .unionByName(r.families().select(
-            F.when(F.col("id") == 1, "PRODUCE").otherwise("BOOKS").alias("family")
-        ))
+    """Requests for families with history, with a baseline only, and with neither."""
+    kind, none = F.col("p_partkey") % 4, F.lit(None).cast("string")
+    family = F.coalesce(
+        F.when(kind == 0, F.col("p_type")).when(kind == 1, F.col("p_brand")).otherwise(none),
+        F.when(kind == 2, "PRODUCE").otherwise("BOOKS"),
     )
-    requests = r.stores().select("store_nbr").crossJoin(F.broadcast(names.distinct()))
+    store = (F.col("p_partkey") % 25).cast("int").alias("store_nbr")
+    requests = r.raw("part").select(store, family.alias("family")).distinct()
     return rounded(B.cold_start(requests, r.sales()))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators import evaluate
 from shelfcast.operators import features as B
 from shelfcast.operators import report
+from shelfcast.operators.sizing import value_of
 from shelfcast.plans.catalog.base import query, rd, rds, rounded
 from shelfcast.sources.retail import Retail
 from shelfcast.sources.sinks import latest_rows
@@ -91,10 +92,10 @@ def _(r: Retail) -> DataFrame:
     sales = r.sales()
     early = sales.where(F.year("date") < 1998)
     fitted = B.fit_target_encoding(early.where("family <> 'PROMO'"), "family")
-    overall = early.agg(F.avg("sales").alias("overall"))
-    out = B.one_row(B.attach(sales, fitted, "family"), overall)
-    out = out.withColumn("family_sales_mean", F.coalesce("family_sales_mean", "overall"))
-    return rounded(out.drop("overall").fillna(0, subset=["family_count"]), "family_sales_mean")
+    overall = value_of(early, F.avg("sales"))
+    out = B.attach(sales, fitted, "family")
+    out = out.withColumn("family_sales_mean", F.coalesce(F.col("family_sales_mean"), overall))
+    return rounded(out.fillna(0, subset=["family_count"]), "family_sales_mean")
 
 
 @query(

@@ -69,7 +69,7 @@ def _(r: Retail) -> DataFrame:
     return stored.select("store_id", "family_id", "date", "sales", "onpromotion")
 
 
-def _alert_documents(r: Retail) -> DataFrame:
+def alert_documents(r: Retail) -> DataFrame:
     """One alert document per day on which a drift threshold was exceeded."""
     daily = r.model_drift().groupBy("timestamp").agg(
         F.avg(F.col("exceeded_threshold").cast("double")).alias("score"), F.count(F.lit(1)).alias("n")
@@ -97,7 +97,7 @@ FROM t_drift GROUP BY 1 HAVING score > 0"""
 def _(r: Retail) -> DataFrame:
     """Alert documents written as JSON and read back under a declared schema."""
     folder = fresh_path(r.spark, "alerts")
-    sinks.write_documents(_alert_documents(r), folder)
+    sinks.write_documents(alert_documents(r), folder)
     docs = tables.read_documents(r.spark, folder)
     return rounded(
         docs.select(

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcast.functions.numeric import correlation
 from shelfcast.functions.text import prediction_id
 from shelfcast.operators import evaluate
 from shelfcast.operators.sizing import attach
@@ -217,7 +218,7 @@ class Retail:
         )
         names = ["onpromotion", "store_nbr", "day_of_week", "month"]
         wide = dated.groupBy("model_version", "timestamp").agg(
-            *[F.abs(F.corr(F.col(c).cast("double"), "sales")).alias(c) for c in names]
+            *[F.abs(correlation(F.col(c).cast("double"), F.col("sales"))).alias(c) for c in names]
         )
         long = wide.unpivot(["model_version", "timestamp"], names, "feature_name", "importance_value")
         return long.where("importance_value is not null").withColumn("model_name", F.lit(MODEL))

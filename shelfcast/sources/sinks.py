@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.ordered import ordered_index
+from shelfcast.operators.sizing import value_of
 from shelfcast.session import settle
 
 
@@ -74,10 +75,8 @@ def get_or_create(dim: DataFrame, names: DataFrame, name: str = "name") -> DataF
     fresh = names.select(name).where(F.col(name).isNotNull()).distinct()
     fresh = fresh.join(dim.select(name), name, "left_anti")
     numbered = ordered_index(fresh, [], [name], "__rank").drop("__rank_total")
-    top = dim.agg(F.coalesce(F.max("id"), F.lit(0)).alias("__top"))
-    made = numbered.crossJoin(F.broadcast(top)).select(
-        (F.col("__top") + F.col("__rank")).cast("int").alias("id"), name
-    )
+    top = value_of(dim, F.coalesce(F.max("id"), F.lit(0)))
+    made = numbered.select((top + F.col("__rank")).cast("int").alias("id"), name)
     return dim.unionByName(made, allowMissingColumns=True)
 
 

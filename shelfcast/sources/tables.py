@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.operators.sizing import value_of
 from shelfcast.schemas import RAW_TABLES, schema
 
 log = logging.getLogger(__name__)
@@ -55,12 +56,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def recent_range(df: DataFrame, days: int, time: str = "date") -> DataFrame:
     """Rows of the last ``days`` days before the newest date in the table."""
-    newest = df.agg(F.max(time).alias("__newest"))
-    return (
-        df.crossJoin(F.broadcast(newest))
-        .where(F.col(time) >= F.date_sub("__newest", days))
-        .drop("__newest")
-    )
+    return df.where(F.col(time) >= F.date_sub(value_of(df, F.max(time)), days))
 
 
 def read_relation(
