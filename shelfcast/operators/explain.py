@@ -46,12 +46,20 @@ def _item(feature: Column, contribution: Column, value: Column) -> Column:
     )
 
 
-def _by_size(items: Column) -> Column:
-    """Largest absolute contribution first, feature name on ties."""
-    keyed = F.transform(
-        items, lambda x: F.struct((-F.abs(x["contribution"])).alias("k"), x["feature"].alias("f"), x.alias("x"))
+def _sortable(feature: Column, contribution: Column, value: Column) -> Column:
+    """An item led by its negative size, so that the natural struct order is largest first."""
+    return F.struct(
+        (-F.abs(contribution)).alias("order"),
+        feature.alias("feature"),
+        contribution.cast("double").alias("contribution"),
+        value.cast("string").alias("value"),
+    )
+
+
+def _sorted(items: Column) -> Column:
+    return F.transform(
+        F.sort_array(items), lambda x: _item(x["feature"], x["contribution"], x["value"])
     )
-    return F.transform(F.array_sort(keyed), lambda k: k["x"])
 
 
 def explain(df: DataFrame) -> DataFrame:
@@ -79,19 +87,18 @@ def explain(df: DataFrame) -> DataFrame:
         "month": (F.lit("month"), F.date_format("date", "MMM")),
         "holiday": (F.lit("holiday"), F.when(holiday, "Yes").otherwise("No")),
     }
-    items = F.array(
-        *[_item(labels[k][0], round_to(p * w, 2), labels[k][1]) for k, w in weights.items()]
-    )
-    raw = df.withColumn("__items", items)
+    # plain columns first: they stay inside generated code, which lambdas over arrays do not
+    parts = {k: f"__{k}" for k in weights}
+    out = df.withColumns({parts[k]: round_to(p * w, 2) for k, w in weights.items()})
+    total = sum((F.col(c) for c in list(parts.values())[1:]), F.col(parts["store"]))
     # the parts are whole cents, so rounding their sum only removes binary noise around zero
-    total = round_to(F.aggregate("__items", F.lit(0.0), lambda acc, x: acc + x["contribution"]), 2)
-    scaled = raw.withColumn("__scale", F.coalesce(ratio(p - p * BASE_SHARE, total), F.lit(1.0)))
-    final = F.transform(
-        "__items", lambda x: _item(x["feature"], round_to(x["contribution"] * F.col("__scale"), 2), x["value"])
-    )
-    return scaled.withColumns(
-        {"base_value": round_to(p * BASE_SHARE, 2), "feature_contributions": _by_size(final)}
-    ).drop("__items", "__scale")
+    scale = F.coalesce(ratio(p - p * BASE_SHARE, round_to(total, 2)), F.lit(1.0))
+    out = out.withColumn("__scale", scale)
+    out = out.withColumns({c: round_to(F.col(c) * F.col("__scale"), 2) for c in parts.values()})
+    items = F.array(*[_sortable(labels[k][0], F.col(c), labels[k][1]) for k, c in parts.items()])
+    return out.withColumns(
+        {"base_value": round_to(p * BASE_SHARE, 2), "feature_contributions": _sorted(items)}
+    ).drop("__scale", *parts.values())
 
 
 # Unscaled weight of the product family, first keyword wins.
@@ -112,33 +119,40 @@ def explain_unscaled(df: DataFrame) -> DataFrame:
     """Fixed-weight variant: contributions above 0.05 in size, at most ten, largest first."""
     day = F.col("date")
     items = F.array(
-        _item(
+        _sortable(
             F.concat(F.lit("family_"), "family"),
             first_match(F.col("family"), FAMILY_WEIGHT, 1.0),
             F.col("family"),
         ),
-        _item(
+        _sortable(
             F.concat(F.lit("store_"), "store_nbr"),
             _store_weight(F.col("store_nbr"), 1.2, -0.2, -1.2),
             F.col("store_nbr"),
         ),
-        _item(F.lit("month"), _month_weight(day, 1.2, -0.6, 0.4, -0.2), F.month(day)),
-        _item(F.lit("dayofweek"), _weekday_weight(day, 0.8, 0.3, -0.3), F.weekday(day)),
-        _item(
+        _sortable(F.lit("month"), _month_weight(day, 1.2, -0.6, 0.4, -0.2), F.month(day)),
+        _sortable(F.lit("dayofweek"), _weekday_weight(day, 0.8, 0.3, -0.3), F.weekday(day)),
+        _sortable(
             F.lit("onpromotion"),
             F.when(F.col("onpromotion") > 0, 1.5).otherwise(-0.8),
             F.col("onpromotion"),
         ),
-        _item(F.lit("year"), F.lit(0.05), F.year(day)),
-        _item(F.lit("quarter"), F.lit(-0.08), F.quarter(day)),
+        _sortable(F.lit("year"), F.lit(0.05), F.year(day)),
+        _sortable(F.lit("quarter"), F.lit(-0.08), F.quarter(day)),
     )
-    return df.withColumn("feature_contributions", rank_contributions(items))
+    return df.withColumn("feature_contributions", _ranked(items, SMALLEST, TOP))
 
 
 def rank_contributions(items: Column, smallest: float = SMALLEST, top: int = TOP) -> Column:
-    """Drop contributions of at most ``smallest``, order by size, keep the first ``top``."""
-    kept = F.filter(items, lambda x: F.abs(x["contribution"]) > smallest)
-    return F.slice(_by_size(kept), 1, top)
+    """Drop contributions of at most ``smallest``, order by size, keep the first ``top``. Items are
+    structs with feature and contribution; further fields come after and are kept."""
+    keyed = F.transform(items, lambda x: F.struct((-F.abs(x["contribution"])).alias("order"), x.alias("item")))
+    kept = F.filter(F.sort_array(keyed), lambda k: k["order"] < -smallest)
+    return F.transform(F.slice(kept, 1, top), lambda k: k["item"])
+
+
+def _ranked(items: Column, smallest: float, top: int) -> Column:
+    kept = F.filter(items, lambda x: x["order"] < -smallest)
+    return F.slice(_sorted(kept), 1, top)
 
 
 def relative_sizes(items: Column) -> Column:
@@ -155,13 +169,11 @@ def relative_sizes(items: Column) -> Column:
 
 def contribution_summary(explained: DataFrame) -> DataFrame:
     """Mean absolute contribution per feature over many forecasts."""
-    return (
-        explained.select(F.explode("feature_contributions").alias("c"))
-        .groupBy(F.col("c.feature").alias("feature"))
-        .agg(
-            F.avg(F.abs("c.contribution")).alias("mean_abs_contribution"),
-            F.count(F.lit(1)).alias("n"),
-        )
+    # the outer form: the inner one makes Spark test the array for emptiness, which repeats the
+    # whole expression behind it
+    items = explained.select(F.inline_outer("feature_contributions")).where("feature is not null")
+    return items.groupBy("feature").agg(
+        F.avg(F.abs("contribution")).alias("mean_abs_contribution"), F.count(F.lit(1)).alias("n")
     )
 
 

@@ -83,8 +83,9 @@ def as_of_daily(series: DataFrame, days: DataFrame) -> DataFrame:
     return joined.select("date", *[fill_gaps(c, order).alias(c) for c in values])
 
 
-def join_oil(df: DataFrame, oil: DataFrame) -> DataFrame:
-    daily = as_of_daily(oil_features(oil), calendar(df))
+def join_oil(df: DataFrame, oil: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """``days`` are the calendar days of ``df`` when they are cheaper to get elsewhere."""
+    daily = as_of_daily(oil_features(oil), calendar(df) if days is None else days)
     return by_day(df, daily)
 
 

@@ -14,6 +14,7 @@ from shelfcast.plans.catalog.base import query, rd, rds, rounded
 from shelfcast.plans.catalog.joins import FLAG_NAMES, FLAGS_SQL, OIL_DAILY_SQL
 from shelfcast.plans.catalog.scalars import PARTS_SQL
 from shelfcast.plans.catalog.windows import FN, SERIES_SQL
+from shelfcast.session import settle
 from shelfcast.sources.retail import Retail
 
 CUT = dt.date(2001, 1, 1)
@@ -22,7 +23,7 @@ FIRST = dt.date(1995, 1, 30)
 
 def retail_tables(r: Retail, cut: dt.date | None = None) -> dict[str, DataFrame]:
     """Raw tables; with ``cut`` the sales from that day on are test rows."""
-    sales = r.sales()
+    sales = settle(r.sales(), "sales")
     tables = {
         "train": sales,
         "stores": r.stores().drop("id"),

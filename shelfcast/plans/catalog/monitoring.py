@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import scale_columns
@@ -12,14 +12,18 @@ from shelfcast.plans.catalog.scans import ALERTS_SQL, alert_documents
 from shelfcast.session import fresh_path
 from shelfcast.sources.retail import Retail
 
-SPLIT = F.lit("2024-01-16").cast("timestamp_ntz")
+def split() -> Column:
+    """The moment that separates baseline events from new ones."""
+    return F.lit("2024-01-16").cast("timestamp_ntz")
+
+
 NUMERIC = ["value", "user_id"]
 CATEGORICAL = ["event_type"]
 
 
 def halves(r: Retail) -> tuple[DataFrame, DataFrame]:
     events = r.raw("events")
-    return events.where(F.col("ts") < SPLIT), events.where(F.col("ts") >= SPLIT)
+    return events.where(F.col("ts") < split()), events.where(F.col("ts") >= split())
 
 
 def shifted(new: DataFrame) -> DataFrame:
@@ -173,7 +177,9 @@ def _(r: Retail) -> DataFrame:
     return rounded(monitor.performance_drift(old, now))
 
 
-MOMENT = F.lit("2024-02-01 00:00:00").cast("timestamp")
+def moment() -> Column:
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
+
 
 
 @query(
@@ -185,7 +191,7 @@ FROM ({SCORE_SQL}) WHERE overall_drift_score > 0.3""",
 def _(r: Retail) -> DataFrame:
     num, cat, score, moved = _drift(r)
     n_rows = moved.agg(F.count(F.lit(1)).alias("n_rows"))
-    alert = monitor.data_alert(score, num, cat, n_rows, "events", MOMENT)
+    alert = monitor.data_alert(score, num, cat, n_rows, "events", moment())
     data = F.col("data")
     return rounded(
         alert.select(
@@ -231,7 +237,7 @@ def _(r: Retail) -> DataFrame:
     old, new = halves(r)
     moved = shifted(new)
     now = moved.agg(F.avg("value").alias("metric_value")).select(F.lit("level").alias("metric_name"), "metric_value")
-    health = monitor.check_health(_baseline(r, old), moved, now, NUMERIC, CATEGORICAL, "events", MOMENT)
+    health = monitor.check_health(_baseline(r, old), moved, now, NUMERIC, CATEGORICAL, "events", moment())
     alerts = health["alerts"].agg(F.count(F.lit(1)).cast("int").alias("n"))
     decision = health["decision"].select("needs_retraining")
     return rounded(

@@ -38,7 +38,7 @@ def _forecasts(r: Retail) -> DataFrame:
     past = r.predictions(sales).select("id", "store_id", "family_id", "target_date", "predicted_sales")
     stores = r.stores().select(F.col("id").alias("store_id"), "store_nbr")
     families = r.families().select(F.col("id").alias("family_id"), F.col("name").alias("family"))
-    named = B.attach(B.attach(past, stores, "store_id", "inner"), families, "family_id", "inner")
+    named = past.join(stores, "store_id").join(families, "family_id")
     named = named.withColumnRenamed("target_date", "date").drop("store_id", "family_id")
     joined = named.join(keys, ["store_nbr", "family", "date"]).replace(FOOD, subset=["family"])
     return B.flag_dates(joined, B.active_holidays(r.holidays(), "National"))
@@ -95,8 +95,8 @@ FROM (SELECT *, coalesce((p - p * 0.6::DOUBLE) / nullif(round({' + '.join(f'c{i}
 )
 def _(r: Retail) -> DataFrame:
     explained = explain.explain(_forecasts(r))
-    rows = explained.select("id", "base_value", F.explode("feature_contributions").alias("c"))
-    return rounded(rows.select("id", "base_value", "c.feature", "c.contribution"), digits=2)
+    rows = explained.select("id", "base_value", F.inline_outer("feature_contributions"))
+    return rounded(rows.drop("value"), digits=2)
 
 
 UNSCALED_WEIGHTS = {
@@ -117,8 +117,7 @@ UNSCALED_WEIGHTS = {
 )
 def _(r: Retail) -> DataFrame:
     explained = explain.explain_unscaled(_forecasts(r))
-    rows = explained.select("id", F.explode("feature_contributions").alias("c"))
-    return rows.select("id", "c.feature", "c.contribution")
+    return explained.select("id", F.inline_outer("feature_contributions")).drop("value")
 
 
 @query(
@@ -138,8 +137,7 @@ def _(r: Retail) -> DataFrame:
 def _(r: Retail) -> DataFrame:
     explained = explain.explain(_forecasts(r))
     sizes = explain.relative_sizes(F.col("feature_contributions"))
-    rows = explained.select("id", F.explode(sizes).alias("c"))
-    return rounded(rows.select("id", "c.feature", "c.relative"))
+    return rounded(explained.select("id", F.inline_outer(sizes)))
 
 
 NEWEST_IMPORTANCE_SQL = f"SELECT feature_name, importance_value FROM ({IMPORTANCE_SQL}) WHERE model_version = '2000'"

@@ -15,7 +15,7 @@ from shelfcast.operators import report
 from shelfcast.plans.catalog.base import query, rd, rounded
 from shelfcast.sources.retail import Retail
 
-DAY = F.col("date")
+DAY = "date"
 GRAIN = "store_nbr, family, date"
 
 
@@ -133,7 +133,7 @@ PARTS_SQL = ", ".join(
 
 @query("dt_parts", f"SELECT {GRAIN}, {PARTS_SQL} FROM t_sales")
 def _(r: Retail) -> DataFrame:
-    return r.sales().select("store_nbr", "family", "date").withColumns(C.date_parts(DAY))
+    return r.sales().select("store_nbr", "family", "date").withColumns(C.date_parts(F.col(DAY)))
 
 
 @query(
@@ -150,7 +150,7 @@ def _(r: Retail) -> DataFrame:
     + " FROM t_sales",
 )
 def _(r: Retail) -> DataFrame:
-    return r.sales().select("store_nbr", "family", "date").withColumns(C.boundary_flags(DAY))
+    return r.sales().select("store_nbr", "family", "date").withColumns(C.boundary_flags(F.col(DAY)))
 
 
 def _wave(turn: str, name: str) -> str:
@@ -170,17 +170,17 @@ def _wave(turn: str, name: str) -> str:
     + " FROM t_sales",
 )
 def _(r: Retail) -> DataFrame:
-    return rounded(r.sales().select("store_nbr", "family", "date").withColumns(C.cyclical(DAY)))
+    return rounded(r.sales().select("store_nbr", "family", "date").withColumns(C.cyclical(F.col(DAY))))
 
 
 @query("dt_day_of_year", f"SELECT {GRAIN}, {_int('dayofyear(date)', 'day_of_year')} FROM t_sales")
 def _(r: Retail) -> DataFrame:
-    return r.sales().select("store_nbr", "family", "date", C.day_of_year(DAY).alias("day_of_year"))
+    return r.sales().select("store_nbr", "family", "date", C.day_of_year(F.col(DAY)).alias("day_of_year"))
 
 
 @query("dt_name", f"SELECT {GRAIN}, dayname(date) AS day_name FROM t_sales")
 def _(r: Retail) -> DataFrame:
-    return r.sales().select("store_nbr", "family", "date", C.weekday_name(DAY).alias("day_name"))
+    return r.sales().select("store_nbr", "family", "date", C.weekday_name(F.col(DAY)).alias("day_name"))
 
 
 @query(
@@ -344,7 +344,7 @@ FROM (SELECT *, {FOOD_SQL} AS name FROM t_sales)""",
 )
 def _(r: Retail) -> DataFrame:
     named = r.sales().withColumn("name", F.col("family")).replace(FOOD, subset=["name"])
-    vector = B.feature_vector(F.col("store_nbr"), F.col("name"), F.col("onpromotion"), DAY)
+    vector = B.feature_vector(F.col("store_nbr"), F.col("name"), F.col("onpromotion"), F.col(DAY))
     text = F.array_join(F.transform(vector, lambda v: v.cast("int").cast("string")), ",")
     return named.select("store_nbr", "family", "date", text.alias("slots"))
 
@@ -428,7 +428,7 @@ def _(r: Retail) -> DataFrame:
     f"SELECT {GRAIN}, store_nbr || '-' || family || '-' || strftime(date, '%Y-%m-%d') AS id FROM t_sales",
 )
 def _(r: Retail) -> DataFrame:
-    key = X.prediction_id(F.col("store_nbr"), F.col("family"), DAY)
+    key = X.prediction_id(F.col("store_nbr"), F.col("family"), F.col(DAY))
     return r.sales().select("store_nbr", "family", "date", key.alias("id"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import monitor
 from shelfcast.plans.catalog.base import query, rd, rounded
-from shelfcast.plans.catalog.monitoring import CATEGORICAL, NUMERIC, SPLIT
+from shelfcast.plans.catalog.monitoring import CATEGORICAL, NUMERIC, split
 from shelfcast.session import fresh_path
 from shelfcast.sources.retail import Retail
 from shelfcast.streaming import jobs
@@ -31,7 +31,7 @@ def _(r: Retail) -> DataFrame:
 @query("st_drift_alerts")
 def _(r: Retail) -> DataFrame:
     """Alerts of the micro-batches against a baseline whose values were lower."""
-    old = r.raw("events").where(F.col("ts") < SPLIT)
+    old = r.raw("events").where(F.col("ts") < split())
     lower = old.withColumn("value", F.col("value") * 0.5).withColumn("user_id", F.col("user_id") + 1000)
     metrics = old.agg(F.avg("value").alias("metric_value")).select(F.lit("level").alias("metric_name"), "metric_value")
     path = fresh_path(r.spark, "baseline")

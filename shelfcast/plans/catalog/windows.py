@@ -211,8 +211,8 @@ def _decompose_sql(table: str, p: int, name: str) -> str:
     )
     keys = "store_nbr, family"
     return f"""
-SELECT {GRAIN}, {rd('trend', 5)} AS sales_{name}_trend, {rd('seasonal', 5)} AS sales_{name}_seasonal,
-       {rd('sales - trend - seasonal', 5)} AS sales_{name}_resid
+SELECT {GRAIN}, {rd('trend', 9)} AS sales_{name}_trend, {rd('seasonal', 9)} AS sales_{name}_seasonal,
+       {rd('sales - trend - seasonal', 9)} AS sales_{name}_resid
 FROM (SELECT *, m - avg(CASE WHEN i <= {p} THEN m END) OVER (PARTITION BY {keys}) AS seasonal
  FROM (SELECT *, avg(sales - trend) OVER (PARTITION BY {keys}, (i - 1) % {p}) AS m
   FROM (SELECT i.*, CASE WHEN n < {2 * p} THEN NULL WHEN t IS NOT NULL THEN t
@@ -237,7 +237,7 @@ def _(r: Retail) -> DataFrame:
     spec = PanelSpec()
     panel = r.event_panel()
     made = decompose.seasonal_decompose(panel, spec, {"weekly": 7, "monthly": 30})
-    return rounded(made.drop("sales"), digits=5)
+    return rounded(made.drop("sales"), digits=9)
 
 
 @query(
@@ -248,7 +248,7 @@ def _(r: Retail) -> DataFrame:
 def _(r: Retail) -> DataFrame:
     """Monthly and yearly split of the sales panel."""
     made = decompose.seasonal_decompose(r.sales(), periods={"monthly": 30, "yearly": 365})
-    return rounded(made.drop("sales", "onpromotion"), digits=5)
+    return rounded(made.drop("sales", "onpromotion"), digits=9)
 
 
 KS_SQL = """

@@ -23,7 +23,7 @@ FIRST_DAY = dt.date(2015, 1, 28)
 
 
 def _known_facts(
-    df: DataFrame, tables: Mapping[str, DataFrame], categories: Mapping[str, list]
+    df: DataFrame, tables: Mapping[str, DataFrame], categories: Mapping[str, list], days: DataFrame
 ) -> DataFrame:
     """Calendar, store, price and holiday features, all joined on broadcast-size tables."""
     out = df.withColumns(C.date_parts(F.col("date")))
@@ -31,7 +31,7 @@ def _known_facts(
         out = features.join_stores(out, tables["stores"])
         out = features.one_hot(out, categories, drop_first=True)
     if "oil" in tables:
-        out = features.join_oil(out, tables["oil"])
+        out = features.join_oil(out, tables["oil"], days)
     if "holidays_events" in tables:
         out = features.join_holiday_flags(out, tables["holidays_events"])
     return out
@@ -68,12 +68,13 @@ def train_features(
     """Raw tables to the training feature table.
 
     Series windows run on the four panel columns, before anything is joined, so
-    the one shuffle of the panel moves narrow rows.
+    the one shuffle of the panel moves narrow rows. The panel is read by several
+    steps (calendar, encodings, windows): pass a stored table, not a long query.
     """
     categories = store_categories(tables) if categories is None else categories
     panel = tables["train"].dropna(subset=["date", "store_nbr", "family", "sales", "onpromotion"])
     out = _series_features(panel, exclude_current)
-    out = _known_facts(out, tables, categories)
+    out = _known_facts(out, tables, categories, features.calendar(panel))
     if "transactions" in tables:
         out = _with_transactions(out, tables["transactions"], fill=True)
     out = features.target_encode(out, ["family", "store_nbr"], "sales", train=panel)
@@ -96,7 +97,7 @@ def test_features(
     dates = test.select("date").distinct()
     series = _series_features(both, exclude_current=False)
     series = series.join(F.broadcast(dates), "date", "left_semi")  # one row per day
-    out = _known_facts(series, tables, categories)
+    out = _known_facts(series, tables, categories, features.calendar(both))
     if "transactions" in tables:
         known = tables["transactions"]
         last = features.last_known(known, "store_nbr", "transactions").withColumnRenamed(

@@ -41,9 +41,13 @@ class Retail:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._opened: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """A raw table; opened once, since opening reads file footers."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._opened[name]
 
     def sales(self) -> DataFrame:
         """(store_nbr, family, date, sales, onpromotion), one row per key and day.
@@ -125,7 +129,7 @@ class Retail:
         families = self.families().select(
             F.col("id").alias("family_id"), F.col("name").alias("family")
         )
-        keyed = attach(attach(sales, stores, "store_nbr", "inner"), families, "family", "inner")
+        keyed = sales.join(stores, "store_nbr").join(families, "family")
         return keyed.select("store_id", "family_id", "date", "sales", "onpromotion")
 
     def predictions(self, sales: DataFrame | None = None) -> DataFrame:
@@ -140,7 +144,7 @@ class Retail:
         families = self.families().select(
             F.col("id").alias("family_id"), F.col("name").alias("family")
         )
-        keyed = attach(attach(scored, stores, "store_nbr", "inner"), families, "family", "inner")
+        keyed = scored.join(stores, "store_nbr").join(families, "family")
         band = 1.96 * F.coalesce(F.col("spread"), F.lit(0.0))
         return keyed.select(
             prediction_id(F.col("store_nbr"), F.col("family"), F.col("date")).alias("id"),
