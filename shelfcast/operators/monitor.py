@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.numeric import numeric_columns, ratio, string_columns
 from shelfcast.operators.distribution import bin_number, describe, ks_statistic, to_long
 from shelfcast.operators.sizing import value_of
+from shelfcast.session import settle
 from shelfcast.sources.sinks import fixed_sample
 
 # Thresholds of the drift rules.
@@ -344,15 +345,20 @@ def check_health(
     model: str,
     at: Column,
 ) -> dict[str, DataFrame]:
-    """Data drift, performance drift, the alerts they raise and the decision that follows."""
-    num = numeric_drift(baseline.numeric, baseline.sample, new, numeric)
-    cat = categorical_drift(baseline.categorical, new, categorical)
+    """Data drift, performance drift, the alerts they raise and the decision that follows.
+
+    The reports are stored as they are made (one row per column or metric), so
+    the new data is read once however many of them are looked at later.
+    """
+    num = settle(numeric_drift(baseline.numeric, baseline.sample, new, numeric), "drift")
+    cat = settle(categorical_drift(baseline.categorical, new, categorical), "drift")
     score = drift_score(num, cat, len(numeric) + len(categorical))
-    perf = performance_drift(baseline.metrics, current_metrics)
+    perf = settle(performance_drift(baseline.metrics, current_metrics), "performance")
     n_rows = new.agg(F.count(F.lit(1)).alias("n_rows"))
     alerts = data_alert(score, num, cat, n_rows, model, at).unionByName(
         performance_alert(perf, model, at)
     )
+    alerts = settle(alerts, "alerts")
     return {
         "numeric": num,
         "categorical": cat,

@@ -66,7 +66,7 @@ def _(r: Retail) -> DataFrame:
     + f" FROM ({STORE_MEANS_SQL}) JOIN t_stores USING (store_nbr) GROUP BY 1",
 )
 def _(r: Retail) -> DataFrame:
-    return rounded(report.box_stats(r.sales(), r.stores()))
+    return rounded(report.box_stats(r.panel(), r.stores()))
 
 
 @query(
@@ -143,7 +143,7 @@ def _histogram_sql(expr: str, lo: str, hi: str, bins: int) -> str:
     + ")",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     raw = distribution.histogram(sales, "sales", 50)
     logged = sales.select(F.log1p("sales").alias("log_sales"))
     log = distribution.histogram(logged, "log_sales", 50, 0.0, 8.0)
@@ -161,7 +161,7 @@ FROM t_sales s JOIN (SELECT family, avg(sales) AS fm, count(*) AS fc FROM t_sale
 JOIN (SELECT store_nbr, avg(sales) AS sm, count(*) AS sc FROM t_sales GROUP BY 1) USING (store_nbr)""",
 )
 def _(r: Retail) -> DataFrame:
-    coded = B.target_encode(r.sales(), ["family", "store_nbr"], with_count=True)
+    coded = B.target_encode(r.panel(), ["family", "store_nbr"], with_count=True)
     return rounded(coded, "family_sales_mean", "store_nbr_sales_mean")
 
 
@@ -173,7 +173,7 @@ FROM t_sales s LEFT JOIN (SELECT store_nbr, avg(sales) AS m FROM tr GROUP BY 1)
 )
 def _(r: Retail) -> DataFrame:
     """Encoding fitted on early rows that lack one store."""
-    sales = r.sales()
+    sales = r.panel()
     train = sales.where((F.year("date") < 1998) & (F.col("store_nbr") != 3))
     coded = B.target_encode(sales, ["store_nbr"], train=train)
     return rounded(coded.drop("sales", "onpromotion"))
@@ -265,7 +265,7 @@ LEFT JOIN (SELECT store_id, {ACCURACY_SQL} / 100 AS acc FROM t_pairs WHERE actua
 JOIN t_stores s ON s.id = store_id""",
 )
 def store_top10(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     facts = r.historical_sales(sales)
     pairs = evaluate.pair(r.predictions(sales), facts)
     return rounded(report.store_top(facts, pairs, r.stores(), 10), "forecast_accuracy")
@@ -291,7 +291,7 @@ def _(r: Retail) -> DataFrame:
   (SELECT {rd(ACCURACY_SQL)} FROM t_pairs WHERE actual > 0) AS forecast_accuracy FROM t_facts""",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     facts = r.historical_sales(sales)
     return rounded(report.kpi_summary(facts, evaluate.pair(r.predictions(sales), facts)))
 
@@ -303,7 +303,7 @@ def _(r: Retail) -> DataFrame:
   true AS has_enough_data""",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     return report.table_counts(
         {
             "stores_count": r.stores(),
@@ -345,7 +345,7 @@ def _(r: Retail) -> DataFrame:
     "WHERE contains(model_version, '199') GROUP BY 1)",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     pairs = evaluate.pair(r.predictions(sales), r.historical_sales(sales), version_contains="199")
     return rounded(evaluate.model_metrics(pairs, ["model_version"]))
 

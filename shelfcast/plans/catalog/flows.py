@@ -14,7 +14,6 @@ from shelfcast.plans.catalog.base import query, rd, rds, rounded
 from shelfcast.plans.catalog.joins import FLAG_NAMES, FLAGS_SQL, OIL_DAILY_SQL
 from shelfcast.plans.catalog.scalars import PARTS_SQL
 from shelfcast.plans.catalog.windows import FN, SERIES_SQL
-from shelfcast.session import settle
 from shelfcast.sources.retail import Retail
 
 CUT = dt.date(2001, 1, 1)
@@ -23,7 +22,7 @@ FIRST = dt.date(1995, 1, 30)
 
 def retail_tables(r: Retail, cut: dt.date | None = None) -> dict[str, DataFrame]:
     """Raw tables; with ``cut`` the sales from that day on are test rows."""
-    sales = settle(r.sales(), "sales")
+    sales = r.panel()
     tables = {
         "train": sales,
         "stores": r.stores().drop("id"),
@@ -112,7 +111,7 @@ UNION ALL SELECT 'days', CAST(count(DISTINCT date) AS DOUBLE) FROM t_sales""",
 )
 def _(r: Retail) -> DataFrame:
     """Several exploratory summaries as one list of figures."""
-    made = flows.explore(r.sales(), r.stores(), r.holidays(), r.oil())
+    made = flows.explore(r.panel(), r.stores(), r.holidays(), r.oil())
     out = made["promo_mean"].select(F.concat(F.lit("promo "), "onpromotion").alias("item"), F.col("mean_sales").alias("figure"))
     out = out.unionByName(
         made["weekday_mean"].select(F.concat(F.lit("weekday "), "day_name").alias("item"), F.col("mean_sales").alias("figure"))
@@ -134,7 +133,7 @@ UNION ALL SELECT * FROM (SELECT 'store ' || (store_id - 1), sum(sales) AS s FROM
                          ORDER BY s DESC, store_id LIMIT 10)""",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     facts = r.historical_sales(sales)
     made = flows.business_report(facts, r.predictions(sales), r.stores(), r.families())
     kpi = made["kpi"]

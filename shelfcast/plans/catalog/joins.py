@@ -47,7 +47,7 @@ def _(r: Retail) -> DataFrame:
     f"FROM t_sales s LEFT JOIN ({OIL_DAILY_SQL}) USING (date)",
 )
 def _(r: Retail) -> DataFrame:
-    joined = B.join_oil(r.sales(), r.oil())
+    joined = B.join_oil(r.panel(), r.oil())
     return rounded(joined, "dcoilwtico", "oil_price_7d_avg", "oil_price_30d_avg", digits=9)
 
 
@@ -89,7 +89,7 @@ FROM t_sales s LEFT JOIN (SELECT family, avg(sales) AS m, count(sales) AS n FROM
 )
 def _(r: Retail) -> DataFrame:
     """A fitted encoding without one of the families, joined to all rows."""
-    sales = r.sales()
+    sales = r.panel()
     early = sales.where(F.year("date") < 1998)
     fitted = B.fit_target_encoding(early.where("family <> 'PROMO'"), "family")
     overall = value_of(early, F.avg("sales"))
@@ -138,7 +138,7 @@ LEFT JOIN (SELECT * FROM t_facts WHERE onpromotion = 0) a
 )
 def _(r: Retail) -> DataFrame:
     """The newest forecasts against a sales table that lacks some of their days."""
-    sales = r.sales()
+    sales = r.panel()
     known = r.historical_sales(sales).where("onpromotion = 0")
     newest = report.recent_predictions(r.predictions(sales), known, 500)
     return rounded(newest.select("id", "predicted_sales", "actual_sales"), "predicted_sales")
@@ -177,7 +177,7 @@ def _(r: Retail) -> DataFrame:
 )
 def _(r: Retail) -> DataFrame:
     """Sales that have no forecast yet."""
-    sales = r.sales()
+    sales = r.panel()
     done = r.predictions(sales).select("store_id", "family_id", F.col("target_date").alias("date"))
     return r.historical_sales(sales).join(done, ["store_id", "family_id", "date"], "left_anti")
 
@@ -194,7 +194,7 @@ def _(r: Retail) -> DataFrame:
     "SELECT c.date, coalesce(sum(sales), 0) AS sales FROM t_cal c LEFT JOIN t_sales USING (date) GROUP BY 1",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     daily = report.daily_total(sales)
     return B.calendar(sales).join(daily, "date", "left").fillna(0.0, subset=["sales"])
 
@@ -206,7 +206,7 @@ FROM (SELECT DISTINCT store_nbr, family FROM t_sales) CROSS JOIN t_cal c
 LEFT JOIN t_sales s USING (store_nbr, family, date)""",
 )
 def _(r: Retail) -> DataFrame:
-    return B.densify(r.sales())
+    return B.densify(r.panel())
 
 
 @query("jn_common_columns", "SELECT store_nbr, date FROM t_trans UNION ALL SELECT store_nbr, date FROM t_sales")

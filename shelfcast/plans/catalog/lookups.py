@@ -33,7 +33,7 @@ FROM (SELECT * FROM t_pred ORDER BY created_at DESC, id LIMIT 10) p JOIN t_facts
   ON a.store_id = p.store_id AND a.family_id = p.family_id AND a.date = p.target_date""",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     newest = report.recent_predictions(r.predictions(sales), r.historical_sales(sales), 10)
     wanted = ("id", "predicted_sales", "actual_sales", "error", "percentage_error", "accuracy")
     return rounded(newest.select(*wanted), "predicted_sales", "error", "percentage_error", "accuracy")

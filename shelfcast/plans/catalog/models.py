@@ -37,7 +37,7 @@ def booster(rounds: int = ROUNDS):
 FROM t_sales s JOIN t_families f ON f.name = family""",
 )
 def _(r: Retail) -> DataFrame:
-    rows = r.sales().withColumn("month", F.month("date"))
+    rows = r.panel().withColumn("month", F.month("date"))
     coded, features = model.prepare(rows)
     return coded.select("date", "sales", *features)
 
@@ -105,7 +105,7 @@ def _(r: Retail) -> DataFrame:
 )
 def _(r: Retail) -> DataFrame:
     """Selection by correlation; the date counts through its parts, the family through its code."""
-    rows = r.sales().withColumns(V.lags("sales", (1,))).fillna(0.0, subset=["sales_lag_1"])
+    rows = r.panel().withColumns(V.lags("sales", (1,))).fillna(0.0, subset=["sales_lag_1"])
     return rounded(model.select_features(rows, "correlation", threshold=0.001))
 
 

@@ -9,7 +9,7 @@ from shelfcast.functions.numeric import scale_columns
 from shelfcast.operators import evaluate, monitor
 from shelfcast.plans.catalog.base import METRIC_COLUMNS, query, rd, rds, rounded
 from shelfcast.plans.catalog.scans import ALERTS_SQL, alert_documents
-from shelfcast.session import fresh_path
+from shelfcast.session import fresh_path, settle
 from shelfcast.sources.retail import Retail
 
 def split() -> Column:
@@ -76,7 +76,9 @@ SELECT CAST(((SELECT count(*) FROM ({NUMERIC_SQL}) WHERE drift_detected)
 
 def _baseline(r: Retail, old: DataFrame) -> monitor.Baseline:
     metrics = old.agg(F.avg("value").alias("metric_value")).select(F.lit("level").alias("metric_name"), "metric_value")
-    return monitor.set_baseline(old, metrics, ["event_id"], NUMERIC, CATEGORICAL)
+    path = fresh_path(r.spark, "baseline")
+    monitor.set_baseline(old, metrics, ["event_id"], NUMERIC, CATEGORICAL).save(path)
+    return monitor.Baseline.load(r.spark, path)
 
 
 @query(
@@ -89,9 +91,7 @@ UNION ALL SELECT 'sample', 'rows', CAST(count(*) AS DOUBLE) FROM {SAMPLE_SQL}"""
 def _(r: Retail) -> DataFrame:
     """Baseline tables saved, loaded, and shown as one list."""
     old, _ = halves(r)
-    path = fresh_path(r.spark, "baseline")
-    _baseline(r, old).save(path)
-    base = monitor.Baseline.load(r.spark, path)
+    base = _baseline(r, old)
     shown = base.numeric.select("feature", F.lit("").alias("category"), F.col("mean").alias("amount"))
     shown = shown.unionByName(base.categorical.withColumnRenamed("prob", "amount"))
     rows = base.sample.agg(F.count(F.lit(1)).cast("double").alias("amount"))
@@ -140,8 +140,8 @@ def _(r: Retail) -> DataFrame:
 def _drift(r: Retail) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     old, new = halves(r)
     base, moved = _baseline(r, old), shifted(new)
-    num = monitor.numeric_drift(base.numeric, base.sample, moved, NUMERIC)
-    cat = monitor.categorical_drift(base.categorical, moved, CATEGORICAL)
+    num = settle(monitor.numeric_drift(base.numeric, base.sample, moved, NUMERIC), "drift")
+    cat = settle(monitor.categorical_drift(base.categorical, moved, CATEGORICAL), "drift")
     return num, cat, monitor.drift_score(num, cat, 3), moved
 
 

@@ -33,7 +33,7 @@ def _(r: Retail) -> DataFrame:
 
 def _forecasts(r: Retail) -> DataFrame:
     """Forecasts under food-family names with the flag of national holidays."""
-    sales = r.sales()
+    sales = r.panel()
     keys = sales.select("store_nbr", "family", "date", "onpromotion")
     past = r.predictions(sales).select("id", "store_id", "family_id", "target_date", "predicted_sales")
     stores = r.stores().select(F.col("id").alias("store_id"), "store_nbr")

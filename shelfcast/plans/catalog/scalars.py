@@ -318,7 +318,7 @@ LEFT JOIN (SELECT name AS family, id - 1 AS code FROM t_families) c USING (famil
 )
 def _(r: Retail) -> DataFrame:
     family = F.when(F.dayofmonth("date") != 13, F.col("family"))
-    return B.category_codes(r.sales().select("store_nbr", "date", family.alias("family")), ["family"])
+    return B.category_codes(r.panel().select("store_nbr", "date", family.alias("family")), ["family"])
 
 
 def _vector_sql() -> str:

@@ -56,7 +56,7 @@ def _(r: Retail) -> DataFrame:
     _from_sales("*") + " WHERE date >= (SELECT max(date) FROM t_sales) - 90",
 )
 def _(r: Retail) -> DataFrame:
-    return tables.recent_range(r.sales(), 90)
+    return tables.recent_range(r.panel(), 90)
 
 
 @query("src_jdbc_table", "SELECT store_id, family_id, date, sales, onpromotion = 1 AS onpromotion FROM t_facts")
@@ -125,7 +125,7 @@ def _(r: Retail) -> DataFrame:
 )
 def _(r: Retail) -> DataFrame:
     path = fresh_path(r.spark, "append")
-    sales = r.sales().select(*SALES_COLUMNS)
+    sales = r.panel().select(*SALES_COLUMNS)
     sinks.append(sales.where("store_nbr < 10"), path)
     sinks.append(sales.where("store_nbr >= 10"), path)
     return r.spark.read.schema(sales.schema).parquet(path)
@@ -133,7 +133,7 @@ def _(r: Retail) -> DataFrame:
 
 def _correction(r: Retail) -> DataFrame:
     """Corrected promoted sales, and one new family per store and day seen."""
-    sales = r.sales().select(*SALES_COLUMNS)
+    sales = r.panel().select(*SALES_COLUMNS)
     fixed = sales.where("onpromotion = 1").withColumn("sales", F.col("sales") + 1)
     new = sales.where("family = 'PROMO'").withColumn("family", F.lit("NEW"))
     return fixed.unionByName(new)
@@ -153,7 +153,7 @@ def _(r: Retail) -> DataFrame:
     """Merge a batch into a partitioned table, rewriting the touched partitions only."""
     path = fresh_path(r.spark, "upsert")
     year = F.year("date")
-    base = r.sales().select(*SALES_COLUMNS).withColumn("year", year)
+    base = r.panel().select(*SALES_COLUMNS).withColumn("year", year)
     base.write.partitionBy("year").parquet(path)
     batch = _correction(r).withColumn("year", year)
     sinks.merge_into_partitions(path, batch, ["store_nbr", "family", "date"], ["year"])
@@ -166,7 +166,7 @@ def _(r: Retail) -> DataFrame:
     "SELECT * FROM t_sales WHERE (store_nbr, date) NOT IN (SELECT (store_nbr, date) FROM batch)",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales().select(*SALES_COLUMNS)
+    sales = r.panel().select(*SALES_COLUMNS)
     return sinks.delete_and_insert(sales, _correction(r), ["store_nbr", "date"])
 
 
@@ -227,7 +227,7 @@ def _(r: Retail) -> DataFrame:
 )
 def _(r: Retail) -> DataFrame:
     """Training and test rows together; what the test rows lack is null."""
-    sales = r.sales()
+    sales = r.panel()
     train = sales.where(F.year("date") < 2001)
     test = sales.where(F.year("date") >= 2001).drop("sales")
     return train.unionByName(test, allowMissingColumns=True)
@@ -239,7 +239,7 @@ def _(r: Retail) -> DataFrame:
     "SELECT DISTINCT 'weekday', CAST(isodow(date) - 1 AS VARCHAR) FROM t_sales",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.sales()
+    sales = r.panel()
     families = sales.select(F.lit("family").alias("kind"), F.col("family").alias("value")).distinct()
     days = sales.select(F.lit("weekday").alias("kind"), F.weekday("date").cast("string").alias("value"))
     return families.unionByName(days.distinct())

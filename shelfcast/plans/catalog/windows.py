@@ -153,7 +153,7 @@ def _(r: Retail) -> DataFrame:
   {rd('avg(onpromotion) OVER (PARTITION BY family, date)')} AS family_promo_density FROM t_sales""",
 )
 def _(r: Retail) -> DataFrame:
-    dense = V.promo_density(r.sales()).drop("sales", "onpromotion")
+    dense = V.promo_density(r.panel()).drop("sales", "onpromotion")
     return rounded(dense)
 
 
@@ -188,7 +188,7 @@ SELECT s.*, CAST((SELECT min(mark) FROM h WHERE mark >= s.date) - s.date AS INTE
 FROM t_sales s""",
 )
 def _(r: Retail) -> DataFrame:
-    return B.join_holiday_distances(r.sales(), r.holidays())
+    return B.join_holiday_distances(r.panel(), r.holidays())
 
 
 @query(
@@ -289,7 +289,7 @@ SELECT {GRAIN}, row_index,
 FROM n""",
 )
 def _(r: Retail) -> DataFrame:
-    folded = model.time_folds(r.sales(), ["date", "store_nbr", "family"])
+    folded = model.time_folds(r.panel(), ["date", "store_nbr", "family"])
     return folded.select("store_nbr", "family", "date", "row_index", "fold")
 
 

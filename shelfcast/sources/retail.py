@@ -8,14 +8,15 @@ second, dense panel. Names follow the retail side from here on.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import correlation
 from shelfcast.functions.text import prediction_id
 from shelfcast.operators import evaluate
-from shelfcast.operators.sizing import attach
+from shelfcast.session import settle
 
 PROMO_DISCOUNT = 0.08
 MODEL = "naive7"
@@ -42,6 +43,7 @@ class Retail:
         self.spark = spark
         self.root = root
         self._opened: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         """A raw table; opened once, since opening reads file footers."""
@@ -72,6 +74,17 @@ class Retail:
             .agg(F.sum("l_quantity").alias("sales"), F.max("promo").alias("onpromotion"))
         )
 
+    def _store(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table, written once to the shared folder and read from there afterwards."""
+        if name not in self._stored:
+            self._stored[name] = settle(make(), name)
+        return self._stored[name]
+
+    def panel(self) -> DataFrame:
+        """The sales panel as a stored table, for work that reads it more than once: the large
+        lineitem table is then scanned and joined a single time."""
+        return self._store("panel", self.sales)
+
     def newest_day(self) -> DataFrame:
         """One row: the last sales date, from a one-column scan."""
         return self.raw("lineitem").agg(F.max("l_shipdate").cast("date").alias("as_of"))
@@ -124,7 +137,7 @@ class Retail:
 
     def historical_sales(self, sales: DataFrame | None = None) -> DataFrame:
         """Sales under surrogate keys."""
-        sales = self.sales() if sales is None else sales
+        sales = self.panel() if sales is None else sales
         stores = self.stores().select(F.col("id").alias("store_id"), "store_nbr")
         families = self.families().select(
             F.col("id").alias("family_id"), F.col("name").alias("family")
@@ -134,8 +147,8 @@ class Retail:
 
     def predictions(self, sales: DataFrame | None = None) -> DataFrame:
         """One-step forecasts: mean of the previous 7 rows of the series, no forecast for the
-        first row. Carries natural and surrogate keys."""
-        sales = self.sales() if sales is None else sales
+        first row."""
+        sales = self.panel() if sales is None else sales
         past = Window.partitionBy("store_nbr", "family").orderBy("date").rowsBetween(-7, -1)
         scored = sales.withColumns(
             {"predicted_sales": F.avg("sales").over(past), "spread": F.stddev_samp("sales").over(past)}
@@ -175,11 +188,13 @@ class Retail:
     # --- stored model tables ------------------------------------------------------------------
 
     def pairs(self) -> DataFrame:
-        sales = self.sales()
-        return evaluate.pair(self.predictions(sales), self.historical_sales(sales))
+        return evaluate.pair(self.predictions(), self.historical_sales())
 
     def model_metrics(self) -> DataFrame:
-        """Metrics per model version and month, one row per metric."""
+        """Metrics per model version and month, one row per metric; a stored table."""
+        return self._store("model_metrics", self._model_metrics)
+
+    def _model_metrics(self) -> DataFrame:
         monthly = self.pairs().withColumn("timestamp", F.trunc("target_date", "month"))
         wide = evaluate.model_metrics(monthly, ["model_version", "timestamp"])
         long = wide.unpivot(
@@ -188,28 +203,43 @@ class Retail:
         return long.withColumn("model_name", F.lit(MODEL))
 
     def model_drift(self) -> DataFrame:
-        """Daily RMSE and MAE per model version against 1.1 times the version's own level."""
-        errors, names = self.pairs(), ["rmse", "mae"]
-        daily = evaluate.model_metrics(errors, ["model_version", "target_date"]).unpivot(
-            ["model_version", "target_date"], names, "drift_metric", "drift_value"
-        )
-        level = evaluate.model_metrics(errors, ["model_version"]).unpivot(
-            ["model_version"], names, "drift_metric", "level"
-        )
-        both = attach(daily, level, ["model_version", "drift_metric"], "inner")
-        limit = F.col("level") * 1.1
-        return both.select(
-            F.lit(MODEL).alias("model_name"),
-            "model_version",
-            "drift_metric",
-            "drift_value",
-            limit.alias("threshold"),
-            (F.col("drift_value") > limit).alias("exceeded_threshold"),
-            F.col("target_date").alias("timestamp"),
+        """Daily RMSE and MAE per model version against 1.1 times the version's own level; a
+        stored table."""
+        return self._store("model_drift", self._model_drift)
+
+    def _model_drift(self) -> DataFrame:
+        gap = F.col("predicted") - F.col("actual")
+        daily = self.pairs().groupBy("model_version", F.col("target_date").alias("timestamp")).agg(
+            F.sum(gap * gap).alias("sse"), F.sum(F.abs(gap)).alias("sae"), F.count(gap).alias("n")
+        )
+        version = Window.partitionBy("model_version")  # one row per day of the version's year
+        total = {c: F.sum(c).over(version) for c in ("sse", "sae", "n")}
+
+        def entry(name: str, value: Column, level: Column) -> Column:
+            return F.struct(
+                F.lit(name).alias("drift_metric"),
+                value.alias("drift_value"),
+                (level * 1.1).alias("threshold"),
+            )
+
+        n = F.col("n")
+        both = F.array(
+            entry("rmse", F.sqrt(F.col("sse") / n), F.sqrt(total["sse"] / total["n"])),
+            entry("mae", F.col("sae") / n, total["sae"] / total["n"]),
+        )
+        rows = daily.withColumn("both", both).select("model_version", "timestamp", F.inline_outer("both"))
+        return rows.withColumns(
+            {
+                "model_name": F.lit(MODEL),
+                "exceeded_threshold": F.col("drift_value") > F.col("threshold"),
+            }
         )
 
     def feature_importance(self) -> DataFrame:
-        """Absolute correlation with sales per model version and quarter."""
+        """Absolute correlation with sales per model version and quarter; a stored table."""
+        return self._store("feature_importance", self._feature_importance)
+
+    def _feature_importance(self) -> DataFrame:
         day = F.col("date")
         dated = self.sales().select(
             F.year(day).cast("string").alias("model_version"),
