@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.operators.ordered import ordered_index
-from shelfcast.operators.sizing import attach, by_day, sized, value_of
+from shelfcast.operators.sizing import attach, by_day, value_of
 from shelfcast.operators.windows import LAGS, fill_gaps, lags
 
 LOCALES = ("National", "Regional", "Local")
@@ -374,13 +374,3 @@ def cold_start(
     out = attach(requests, means, ["store_nbr", "family"])
     seen = F.nullif(F.col("__mean"), F.lit(0.0))
     return out.withColumn("predicted_sales", F.coalesce(seen, fallback)).drop("__mean")
-
-
-def enumerate_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Distinct values of several columns as (column, value) rows."""
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in names])
-    return long.unpivot([], list(names), "column", "value").distinct()
-
-
-def sized_table(df: DataFrame) -> DataFrame:
-    return sized(df)

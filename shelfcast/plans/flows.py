@@ -164,7 +164,6 @@ def training_run(
     The last fold validates the final model; the table is written once and every
     later step reads it.
     """
-    spark = table.sparkSession
     stored = settle(table, "training")
     fitted = registry.fit(stored, [f for f in registry.SALES_FEATURES if f.name in stored.columns])
     shaped = registry.apply(stored.withColumn("__family", F.col("family")), fitted)
