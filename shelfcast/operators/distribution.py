@@ -23,7 +23,11 @@ def to_long(
 
 
 def quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probs: dict[str, float],
+    few_groups: bool = False,
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, one column per entry of ``probs``.
 
@@ -33,7 +37,9 @@ def quantiles(
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         F.count(F.lit(1)).alias("n")
     )
-    ranked = running_totals(counts, by, [value], {"upto": F.col("n")})
+    ranked = running_totals(
+        counts, by, [value], {"upto": F.col("n")}, few_groups=few_groups
+    )
     exprs: list[Column] = []
     for name, p in probs.items():
         spot = (F.col("upto_total") - 1) * F.lit(float(p))
@@ -57,7 +63,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    cuts = quantiles(long, ["feature"], "value", {"p25": 0.25, "median": 0.5, "p75": 0.75})
+    spots = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+    cuts = quantiles(long, ["feature"], "value", spots, few_groups=True)
     return moments.join(F.broadcast(cuts), "feature")  # one row per column
 
 
@@ -94,9 +101,8 @@ def ks_statistic(long: DataFrame, is_baseline: str) -> DataFrame:
         F.sum(F.when(side, 1).otherwise(0)).alias("old"),
         F.sum(F.when(side, 0).otherwise(1)).alias("new"),
     )
-    steps = running_totals(
-        counts, ["feature"], ["value"], {"f_old": F.col("old"), "f_new": F.col("new")}
-    )
+    sums = {"f_old": F.col("old"), "f_new": F.col("new")}
+    steps = running_totals(counts, ["feature"], ["value"], sums, few_groups=True)
     gap = F.abs(
         ratio(F.col("f_old").cast("double"), F.col("f_old_total").cast("double"))
         - ratio(F.col("f_new").cast("double"), F.col("f_new_total").cast("double"))

@@ -67,7 +67,7 @@ def running_totals(
     order: Sequence[str],
     measures: dict[str, Column],
     ranges: int | None = None,
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Inclusive running sums of ``measures`` in ``order`` within ``by``.
 
@@ -98,7 +98,7 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     out = ranged.withColumns({f"__in_{m}": F.sum(col).over(inside) for m, col in measures.items()})
-    out = out.join(F.broadcast(offsets) if few_groups else offsets, spots, "left")
+    out = out.join(F.broadcast(offsets) if few_groups or not by else offsets, spots, "left")
     out = out.withColumns({m: F.col(f"__in_{m}") + F.col(f"__before_{m}") for m in measures})
     return out.drop(_RANGE, *[f"__{k}_{m}" for m in measures for k in ("in", "before")])
 
@@ -109,7 +109,7 @@ def ordered_index(
     order: Sequence[str],
     name: str = "row_index",
     ranges: int | None = None,
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Number rows 1, 2, ... in ``order`` within ``by``; adds ``<name>_total`` as well."""
     one = {name: F.lit(1).cast("bigint")}
@@ -123,7 +123,7 @@ def sliced_window(
     exprs,
     reach: int,
     slice_rows: int = 100_000,
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Window expressions that look back at most ``reach`` rows, on groups of any length.
 
