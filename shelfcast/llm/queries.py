@@ -5,9 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from shelfcast.llm import packing, simhash, token_output, tokens
-from shelfcast.llm.common import table
+from pyspark.sql import functions as F
+
+from shelfcast.llm import (
+    decontaminate,
+    html_text,
+    language,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    token_output,
+    tokens,
+    url_filter,
+)
+from shelfcast.llm.common import fold, table
+from shelfcast.llm.url_filter import Rule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +58,81 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
+
+
+@query("op2_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap with benchmark items, with the overlap."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op5_nearest_neighbours")
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), query_every=50, nearest=5)
+
+
+@query("op7_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of one fold in five are never learnt from."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0).select("doc_id", "quality")
+    field = quality.fit(documents.join(labels, "doc_id"))
+    return quality.score(documents, field).select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query("op10_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; one fold in four is never learnt from."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    network = language.fit(documents.where(fold("doc_id", 4) != 2))
+    return language.predict(documents.select("doc_id", "text"), network).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
+RULES = [
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+]
+
+URL_SQL = """
+WITH rules(verdict, host, path) AS (VALUES
+    ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+cut AS (
+    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+parts AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, coalesce(rest, '') AS rest FROM cut)),
+fitting AS (
+    SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+        row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS n
+    FROM parts p LEFT JOIN rules r
+        ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE n = 1
+"""
+
+
+@query("op9_url_filters", URL_SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the url rules on every page."""
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), RULES)
