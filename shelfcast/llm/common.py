@@ -22,6 +22,19 @@ def fold(column: str, folds: int) -> F.Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % folds, F.lit(-1))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` out of ``df``."""
+    return df.select([F.col(f"`{c}`") for c in like.columns])
+
+
 def bounded_sample(df: DataFrame, rows: int, seed: int) -> DataFrame:
     """About ``rows`` rows spread over the whole table, never more: each row is kept with the
     probability that yields a fifth more than asked for, and a limit ends it."""

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.common import text_blocks
+from shelfcast.llm.common import same_columns, text_blocks
 from shelfcast.session import settle
 
 #: Masks over 11 positions, 7 of them compared.
@@ -305,4 +305,4 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap with no benchmark item, with all their columns. Rows with a null
     id stay."""
     found = contaminated(documents, benchmark).select("doc_id").distinct()
-    return documents.join(found, "doc_id", "left_anti").select(documents.columns)
+    return same_columns(documents.join(found, "doc_id", "left_anti"), documents)

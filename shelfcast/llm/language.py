@@ -229,8 +229,11 @@ def fit(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, width: int = 8, st
     return train(np.concatenate(spans), targets, labels, width=width, steps=steps)
 
 
-def predict(documents: DataFrame, net: Network | None) -> DataFrame:
-    """``lang_pred, score`` beside all columns of ``documents`` (which needs ``text`` as a string).
+def predict(
+    documents: DataFrame, net: Network | None, pred_as: str = "lang_pred", score_as: str = "score"
+) -> DataFrame:
+    """``lang_pred, score`` (under the names given) beside all columns of ``documents``, which needs
+    ``text`` as a string.
 
     ``lang_pred`` is ``und`` with score 0 if the text is null or has no letter, or if there is no network."""
     sent = documents.sparkSession.sparkContext.broadcast(net)
@@ -254,8 +257,8 @@ def predict(documents: DataFrame, net: Network | None) -> DataFrame:
                         guesses[i], scores[i] = sent.value.labels[best], probs[best] / probs.sum()
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(guesses, pa.string()), pa.array(scores)],
-                names=[*names, "lang_pred", "score"],
+                names=[*names, pred_as, score_as],
             )
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.mapInArrow(score, f"{shape}, lang_pred string, score double")
+    return documents.mapInArrow(score, f"{shape}, `{pred_as}` string, `{score_as}` double")

@@ -212,9 +212,10 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field | None:
     return fit_field(texts, [np.frombuffer(r.sizes) for r in found], labels)
 
 
-def score(documents: DataFrame, field: Field | None) -> DataFrame:
-    """``score`` beside all columns of ``documents`` (which needs ``text`` as a string): 0 to 1, the higher the likelier
-    good. Null and empty texts are a single empty line; without a model every score is 0.5."""
+def score(documents: DataFrame, field: Field | None, score_as: str = "score") -> DataFrame:
+    """``score`` (under the name given) beside all columns of ``documents``, which needs ``text`` as a string: 0 to
+    1, the higher the likelier good. Null and empty texts are a single empty line; without a model
+    every score is 0.5."""
     sent = documents.sparkSession.sparkContext.broadcast(field)
     names = documents.columns
 
@@ -227,7 +228,7 @@ def score(documents: DataFrame, field: Field | None) -> DataFrame:
                 lines = np.concatenate([with_neighbours(rows) for rows, _ in made])
                 ends = np.cumsum([len(rows) for rows, _ in made])
                 scores = final_scores(own, document_means(own, lines, ends, np.concatenate([s for _, s in made])))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=[*names, score_as])
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.mapInArrow(judge, f"{shape}, score double")
+    return documents.mapInArrow(judge, f"{shape}, `{score_as}` double")
