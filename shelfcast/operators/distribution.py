@@ -97,10 +97,21 @@ def ks_statistic(long: DataFrame, is_baseline: str) -> DataFrame:
     statistic, both sample sizes and the asymptotic p-value.
     """
     side = F.col(is_baseline)
-    counts = long.groupBy("feature", "value").agg(
-        F.sum(F.when(side, 1).otherwise(0)).alias("old"),
-        F.sum(F.when(side, 0).otherwise(1)).alias("new"),
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    return ks_of_counts(
+        long.select(
+            "feature",
+            "value",
+            F.when(side, one).otherwise(none).alias("old"),
+            F.when(side, none).otherwise(one).alias("new"),
+        )
     )
+
+
+def ks_of_counts(sides: DataFrame) -> DataFrame:
+    """The same from rows of ``feature, value, old, new``, where ``old`` and ``new`` count occurrences on
+    either side; a value may have several rows."""
+    counts = sides.groupBy("feature", "value").agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
     sums = {"f_old": F.col("old"), "f_new": F.col("new")}
     steps = running_totals(counts, ["feature"], ["value"], sums, few_groups=True)
     gap = F.abs(

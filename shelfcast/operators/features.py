@@ -12,7 +12,6 @@ from shelfcast.operators.sizing import attach, by_day, value_of
 from shelfcast.operators.windows import LAGS, fill_gaps, lags
 
 LOCALES = ("National", "Regional", "Local")
-MAX_ONE_HOT = 1000
 
 
 # --- stores and transactions ------------------------------------------------------------------
@@ -182,15 +181,15 @@ def target_encode(
     return out
 
 
-def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
-    """Sorted categories per column. They become columns of the result, so their number is
-    limited; a column above the limit belongs in ``category_codes``."""
+def fit_categories(df: DataFrame, columns: Sequence[str], most: int) -> dict[str, list]:
+    """Sorted categories per column. They become columns of the result, so the caller says how
+    many a table may get of each; a column with more belongs in ``category_codes``."""
     found: dict[str, list] = {}
     for column in columns:
         values = df.select(column).where(F.col(column).isNotNull()).distinct()
-        rows = values.limit(MAX_ONE_HOT + 1).collect()
-        if len(rows) > MAX_ONE_HOT:
-            raise ValueError(f"{column} has more than {MAX_ONE_HOT} categories")
+        rows = values.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"{column} has more than {most} categories")
         found[column] = sorted(row[0] for row in rows)
     return found
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,7 +80,6 @@ def regressor(
         maxDepth=depth,
         seed=seed,
         checkpointInterval=10,
-        cacheNodeIds=True,
         maxMemoryInMB=512,
     )
 
@@ -93,17 +93,34 @@ def train(
     return Pipeline(stages=[assembler, gbt or regressor()]).fit(df)
 
 
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """How many rounds to keep: those up to the smallest error, once ``patience`` rounds have brought no
+    smaller one (or the rounds are over)."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
 def train_with_early_stop(
     df: DataFrame,
     features: Sequence[str],
     validation: Column,
-    tolerance: float = 0.01,
+    patience: int = 50,
     gbt: GBTRegressor | None = None,
 ) -> PipelineModel:
-    """Stop boosting once the error on the rows marked by ``validation`` no longer improves."""
-    booster = (gbt or regressor()).setValidationIndicatorCol("__valid")
-    booster = booster.setParams(validationTol=tolerance)
-    return train(df.withColumn("__valid", validation), features, booster)
+    """Boost all rounds on the rows not marked by ``validation``, and keep the rounds up to the smallest error on
+    the marked ones by the rule of ``best_round``. The same seed grows the same first trees, so
+    the shorter model is grown again with that number of rounds."""
+    booster = gbt or regressor()
+    seen, held = df.where(~validation), df.where(validation)
+    fitted = train(seen, features, booster)
+    errors = fitted.stages[-1].evaluateEachIteration(fitted.stages[0].transform(held), "squared")
+    kept = best_round(errors, patience)
+    return fitted if kept == len(errors) else train(seen, features, booster.copy().setMaxIter(kept))
 
 
 def importance(model: PipelineModel, features: Sequence[str], spark: SparkSession) -> DataFrame:
@@ -119,7 +136,7 @@ def cross_validate(
     features: Sequence[str],
     folds: int = 5,
     gbt: GBTRegressor | None = None,
-    tolerance: float = 0.01,
+    patience: int = 50,
 ) -> tuple[DataFrame, DataFrame]:
     """Per-fold RMSE and MAE, and the feature importance averaged over folds.
 
@@ -127,20 +144,20 @@ def cross_validate(
     """
     spark = folded.sparkSession
     stored = settle(folded, "folds")
-    scores, weights = [], []
-    for k in range(1, folds + 1):
+
+    def one_fold(k: int) -> tuple[DataFrame, DataFrame]:
         seen = stored.where(F.col("fold") <= k)
         model = train_with_early_stop(
-            seen, features, F.col("fold") == k, tolerance, (gbt or regressor()).copy()
+            seen, features, F.col("fold") == k, patience, (gbt or regressor()).copy()
         )
         tested = model.transform(stored.where(F.col("fold") == k))
         gap = F.col("prediction") - F.col(TARGET)
-        scores.append(
-            tested.agg(F.sqrt(F.avg(gap * gap)).alias("rmse"), F.avg(F.abs(gap)).alias("mae")).select(
-                F.lit(k).alias("fold"), "rmse", "mae"
-            )
-        )
-        weights.append(importance(model, features, spark))
+        score = tested.agg(F.sqrt(F.avg(gap * gap)).alias("rmse"), F.avg(F.abs(gap)).alias("mae"))
+        return score.select(F.lit(k).alias("fold"), "rmse", "mae"), importance(model, features, spark)
+
+    with ThreadPoolExecutor(folds) as threads:  # the folds' jobs share the cluster
+        done = list(threads.map(inheritable_thread_target(spark)(one_fold), range(1, folds + 1)))
+    scores, weights = [d[0] for d in done], [d[1] for d in done]
     table, ranks = scores[0], weights[0]
     for more in scores[1:]:
         table = table.unionByName(more)
@@ -167,12 +184,12 @@ def select_features(
     df: DataFrame,
     method: str = "importance",
     threshold: float = 0.01,
-    max_features: int = 100,
+    max_features: int | None = None,
     target: str = TARGET,
     gbt: GBTRegressor | None = None,
 ) -> DataFrame:
-    """(feature, score) of the features at or above the threshold, best first, at most
-    ``max_features`` of them. Dates count through their parts, text through its codes."""
+    """(feature, score) of the features at or above the threshold, best first; only the first
+    ``max_features`` of them, if given. Dates count through their parts, text through its codes."""
     label = df.withColumnRenamed(target, "__y")
     coded, features = prepare(expand_datetimes(label), drop=("__y", "id"))
     if method == "correlation":
@@ -186,7 +203,8 @@ def select_features(
     else:
         raise ValueError(f"unknown selection method: {method}")
     passed = F.col("score") > threshold if method == "variance" else F.col("score") >= threshold
-    return scores.where(passed).orderBy(F.desc("score"), "feature").limit(max_features)
+    ranked = scores.where(passed).orderBy(F.desc("score"), "feature")
+    return ranked if max_features is None else ranked.limit(max_features)
 
 
 # --- scoring ------------------------------------------------------------------------------------
@@ -212,12 +230,6 @@ def constant_forecast(df: DataFrame, value: float = CONSTANT_FORECAST) -> DataFr
     return df.withColumn("predicted_sales", F.lit(float(value)))
 
 
-def feature_arrays(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """The assembled vector as an array column."""
-    assembled = model.stages[0].transform(df)
-    return assembled.withColumn("features", vector_to_array("features"))
-
-
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

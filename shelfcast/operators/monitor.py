@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.numeric import numeric_columns, ratio, string_columns
-from shelfcast.operators.distribution import bin_number, describe, ks_statistic, to_long
+from shelfcast.operators.distribution import bin_number, describe, ks_of_counts, to_long
 from shelfcast.operators.sizing import value_of
 from shelfcast.session import settle
 from shelfcast.sources.sinks import fixed_sample
@@ -24,10 +24,14 @@ ALERT_DAYS = 7
 
 @dataclass(frozen=True)
 class Baseline:
-    """What new data is compared with; four tables that can be written and read back."""
+    """What new data is compared with; five tables that can be written and read back.
+
+    ``values`` counts every value of every numeric column, so a later comparison uses the whole
+    baseline; ``sample`` is a fixed number of rows for plots."""
 
     numeric: DataFrame
     categorical: DataFrame
+    values: DataFrame
     sample: DataFrame
     metrics: DataFrame
 
@@ -50,6 +54,12 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return describe(df, names).select(*wanted)
 
 
+def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(feature, value, n): how often every value of every numeric column occurs."""
+    names = list(columns) if columns is not None else numeric_columns(df)
+    return to_long(df, names).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def profile_categorical(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, category, prob): share of each category among the non-null values."""
     names = list(columns) if columns is not None else string_columns(df)
@@ -74,6 +84,7 @@ def set_baseline(
     return Baseline(
         numeric=profile_numeric(df, numeric),
         categorical=profile_categorical(df, categorical),
+        values=value_counts(df, numeric),
         sample=fixed_sample(df, keys, sample_rows),
         metrics=metrics,
     )
@@ -104,15 +115,21 @@ def _against_profile(profile: DataFrame, new: DataFrame, columns: Sequence[str])
 
 def numeric_drift(
     profile: DataFrame,
-    baseline_rows: DataFrame,
+    baseline_values: DataFrame,
     new: DataFrame,
     columns: Sequence[str],
     limit: float = STATISTIC_LIMIT,
 ) -> DataFrame:
-    """KS distance, p-value and moment differences per column."""
-    old_long = to_long(baseline_rows, columns).withColumn("__old", F.lit(True))
-    new_long = to_long(new, columns).withColumn("__old", F.lit(False))
-    distances = ks_statistic(old_long.unionByName(new_long), "__old")
+    """KS distance, p-value and moment differences per column, against the value counts of the whole
+    baseline."""
+    old = baseline_values.where(F.col("feature").isin(list(columns)))
+    distances = ks_of_counts(
+        old.select("feature", "value", F.col("n").alias("old"), F.lit(0).cast("long").alias("new")).unionByName(
+            value_counts(new, columns).select(
+                "feature", "value", F.lit(0).cast("long").alias("old"), F.col("n").alias("new")
+            )
+        )
+    )
     out = _against_profile(profile, new, columns).join(F.broadcast(distances), "feature")
     return out.select(
         "feature",
@@ -350,7 +367,7 @@ def check_health(
     The reports are stored as they are made (one row per column or metric), so
     the new data is read once however many of them are looked at later.
     """
-    num = settle(numeric_drift(baseline.numeric, baseline.sample, new, numeric), "drift")
+    num = settle(numeric_drift(baseline.numeric, baseline.values, new, numeric), "drift")
     cat = settle(categorical_drift(baseline.categorical, new, categorical), "drift")
     score = drift_score(num, cat, len(numeric) + len(categorical))
     perf = settle(performance_drift(baseline.metrics, current_metrics), "performance")

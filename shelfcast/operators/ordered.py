@@ -4,12 +4,14 @@ A plain ``Window.partitionBy(key).orderBy(value)`` puts a whole group into one
 task. Here a group is cut into value ranges first, so a group holding a third
 of the table is still spread over many tasks:
 
-1. a bounded, repeatable sample (the rows with the smallest hash) gives the cut
-   points, proportionally more of them to larger groups;
-2. each range's totals are added up into a starting offset (a few thousand rows);
-3. the running sum inside a range starts at that offset.
-
-Results are exact whatever the cuts are; the cuts only decide the balance.
+1. the input is written once to the shared folder, and later passes read that copy;
+2. a repeatable sample (the rows with the smallest hash), one row for every ``RANGE_ROWS``, gives
+   the cut points, proportionally more of them to larger groups;
+3. each range's totals are added up into a starting offset (one row per range and group);
+4. the running sum inside a range starts at that offset.
+
+Results are exact whatever the cuts are; the cuts only decide the balance. A null in ``by`` is a
+group like any other.
 """
 
 from __future__ import annotations
@@ -20,15 +22,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import settle
+
 _CUTS = "__cuts"
 _RANGE = "__range"
-MAX_RANGES = 2048
+#: Rows of a range on average: what one task sorts.
+RANGE_ROWS = 1_000_000
+LEAST_RANGES = 8
 
 
 def range_count(df: DataFrame) -> int:
-    """How many ranges to cut a table into: twice the shuffle width, within bounds."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(MAX_RANGES, 2 * width))
+    """How many ranges to cut a stored table into: in proportion to its rows."""
+    return max(LEAST_RANGES, math.ceil(df.count() / RANGE_ROWS))
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", small: bool = False):
+    """Join on keys of which any may be null on both sides; the keys are kept once."""
+    renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    joined = left.join(F.broadcast(renamed) if small else renamed, same, how)
+    return joined.drop(*[f"__right_{k}" for k in keys])
 
 
 def with_ranges(
@@ -43,9 +56,9 @@ def with_ranges(
     cuts = F.array_sort(F.collect_list(point)).alias("fine")
     coarse = F.filter("fine", lambda cut, i: i % step == step - 1).alias("coarse")
     if by:
-        # at most n sampled rows, so the cut table is always small enough to send everywhere
+        # at most n sampled rows: adaptive execution sends the table everywhere while it is small
         table = sample.groupBy(*by).agg(cuts).select(*by, F.struct("fine", coarse).alias(_CUTS))
-        joined = df.join(F.broadcast(table), list(by), "left")
+        joined = join_groups(df, table, by)
     else:
         table = sample.agg(cuts).select(F.struct("fine", coarse))
         joined = df.withColumn(_CUTS, table.scalar())
@@ -71,12 +84,12 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sums of ``measures`` in ``order`` within ``by``.
 
-    ``order`` must be unique within a group and non-null. Adds one column per
+    ``order`` must be unique within a group and non-null; ``by`` may be null. Adds one column per
     measure and one ``<measure>_total`` with the group total. ``few_groups``
     says the number of groups is bounded (columns of a schema, say), which
     bounds the offset table and lets it be broadcast.
     """
-    ranged = with_ranges(df, by, order, ranges)
+    ranged = with_ranges(settle(df, "ordered"), by, order, ranges)
     spots = [*by, _RANGE]
     sums = ranged.groupBy(*spots).agg(
         *[F.sum(col).alias(f"__sum_{name}") for name, col in measures.items()]
@@ -98,7 +111,7 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     out = ranged.withColumns({f"__in_{m}": F.sum(col).over(inside) for m, col in measures.items()})
-    out = out.join(F.broadcast(offsets) if few_groups or not by else offsets, spots, "left")
+    out = join_groups(out, offsets, spots, small=few_groups or not by)
     out = out.withColumns({m: F.col(f"__in_{m}") + F.col(f"__before_{m}") for m in measures})
     return out.drop(_RANGE, *[f"__{k}_{m}" for m in measures for k in ("in", "before")])
 

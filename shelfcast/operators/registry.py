@@ -72,7 +72,9 @@ class Fitted:
     categories: dict[str, list] = field(default_factory=dict)
 
 
-def fit(df: DataFrame, features: Sequence[Feature]) -> Fitted:
+def fit(df: DataFrame, features: Sequence[Feature], most_categories: int = 1000) -> Fitted:
+    """What the transformations need to know of the training rows. A one-hot column with more than
+    ``most_categories`` is an error: each of them becomes a column."""
     by_name = {f.name: f for f in features}
     order = dependency_order({f.name: f.dependencies for f in features})
     absent = [name for name in order if name not in df.columns]
@@ -83,7 +85,7 @@ def fit(df: DataFrame, features: Sequence[Feature]) -> Fitted:
     return Fitted(
         standardized=scaled,
         scaler=fit_scaler(df, scaled) if scaled else None,
-        categories=fit_categories(df, hot),
+        categories=fit_categories(df, hot, most_categories),
     )
 
 

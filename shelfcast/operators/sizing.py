@@ -1,31 +1,16 @@
-"""Joins with a side that is expected to be small: the size is checked, never assumed."""
+"""Joins with a side that is expected to be small, and single values."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def sized(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Compute a derived dimension once and count it: broadcast up to ``max_rows`` rows, else
-    leave the join to Spark (sort-merge, with AQE splitting hot keys)."""
-    kept = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
-
-
-def attach(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    return fact.join(sized(dim, max_rows), on, how)
+def attach(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Join a derived dimension. Adaptive execution broadcasts it if it turns out small, else it is a
+    sort-merge join whose hot keys are split at run time."""
+    return fact.join(dim, on, how)
 
 
 def value_of(df: DataFrame, *exprs: Column) -> Column:

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators import model
 from shelfcast.operators import windows as V
 from shelfcast.plans import flows
 from shelfcast.plans.catalog.base import query, rd, rds, rounded
 from shelfcast.plans.catalog.joins import FLAG_NAMES, FLAGS_SQL, OIL_DAILY_SQL
+from shelfcast.plans.catalog.monitoring import RETRAIN_SQL
 from shelfcast.plans.catalog.scalars import PARTS_SQL
 from shelfcast.plans.catalog.windows import FN, SERIES_SQL
 from shelfcast.sources.retail import Retail
@@ -146,18 +147,43 @@ def _(r: Retail) -> DataFrame:
     return rounded(out)
 
 
-@query("pipe_training")
+@query(
+    "pipe_training",
+    f"""WITH t AS (SELECT count(*) AS n FROM t_sales WHERE date >= DATE '{FIRST}')
+SELECT 'decision' AS part, 'retrain' AS item, CAST((SELECT needs_retraining FROM ({RETRAIN_SQL})) AS DOUBLE) AS figure
+UNION ALL SELECT 'metrics', 'rows', n // 6 FROM t
+UNION ALL SELECT 'folds', 'fold ' || k, 1 FROM (SELECT unnest([1, 2, 3, 4, 5]) AS k)
+UNION ALL SELECT 'importance', 'total', 1 UNION ALL SELECT 'features', 'all ranked', 1
+UNION ALL SELECT 'baseline', feature, {rd('figure')} FROM (
+  SELECT 'sales' AS feature, avg(sales) AS figure FROM t_sales WHERE date >= DATE '{FIRST}'
+  UNION ALL SELECT 'onpromotion', avg(onpromotion) FROM t_sales WHERE date >= DATE '{FIRST}')
+UNION ALL SELECT 'baseline', 'family ' || family, {rd('count(*) / CAST((SELECT n FROM t) AS DOUBLE)')}
+FROM t_sales WHERE date >= DATE '{FIRST}' GROUP BY family""",
+)
 def _(r: Retail) -> DataFrame:
-    """Features, selection, folds, training, evaluation, baseline and retraining check."""
+    """Features, selection, five folds, training, evaluation, baseline and retraining check, as a list of
+    figures: rows that validate, folds with an error, sum of importances, whether every chosen
+    feature has one, baseline means and shares, and the decision."""
     from shelfcast.plans.catalog.scans import alert_documents
 
     table = flows.train_features(retail_tables(r), FIRST, exclude_current=True)
     alerts = alert_documents(r)
     newest = alerts.agg(F.max(F.to_timestamp("timestamp"))).scalar()
-    run = flows.training_run(table, alerts, newest, folds=2, gbt=model.regressor(rounds=5))
-    return run.metrics.withColumns(
-        {
-            "needs_retraining": run.decision.select("needs_retraining").scalar(),
-            "baseline_features": run.baseline.numeric.agg(F.count(F.lit(1))).scalar(),
-        }
+    run = flows.training_run(table, alerts, newest)
+
+    def part(df: DataFrame, name: str, item, figure) -> DataFrame:
+        return df.select(F.lit(name).alias("part"), item.alias("item"), figure.cast("double").alias("figure"))
+
+    ranked = run.importance.agg(
+        F.round(F.sum("importance_value"), 6).alias("total"), F.count(F.lit(1)).alias("n")
     )
+    parts = [
+        part(run.decision, "decision", F.lit("retrain"), F.col("needs_retraining").cast("int")),
+        part(run.metrics, "metrics", F.lit("rows"), F.col("count")),
+        part(run.fold_scores, "folds", F.concat(F.lit("fold "), "fold"), ((F.col("rmse") > 0) & (F.col("mae") > 0)).cast("int")),
+        part(ranked, "importance", F.lit("total"), F.col("total")),
+        part(ranked, "features", F.lit("all ranked"), (F.col("n") == len(run.features)).cast("int")),
+        part(run.baseline.numeric, "baseline", F.col("feature"), F.col("mean")),
+        part(run.baseline.categorical, "baseline", F.concat(F.lit("family "), "category"), F.col("prob")),
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts))

@@ -39,17 +39,15 @@ SHIFTED_SQL = (
 SAMPLE_SQL = "(SELECT * FROM t_old ORDER BY md5('42|' || event_id), event_id LIMIT 1000)"
 
 
-def _ks_sql(column: str) -> str:
-    both = (
-        f"(SELECT {column} AS v, 1 AS o FROM {SAMPLE_SQL} UNION ALL SELECT {column}, 0 FROM {SHIFTED_SQL})"
-    )
+def _ks_sql(column: str, old: str, new: str) -> str:
+    both = f"(SELECT {column} AS v, 1 AS o FROM {old} UNION ALL SELECT {column}, 0 FROM {new})"
     return f"""(SELECT max(abs(a / ta - b / tb)) AS d, max(ta) AS n, max(tb) AS m FROM (
   SELECT CAST(sum(o) OVER w AS DOUBLE) AS a, CAST(sum(c - o) OVER w AS DOUBLE) AS b,
          CAST(sum(o) OVER () AS DOUBLE) AS ta, CAST(sum(c - o) OVER () AS DOUBLE) AS tb
   FROM (SELECT v, sum(o) AS o, count(*) AS c FROM {both} GROUP BY 1) WINDOW w AS (ORDER BY v)))"""
 
 
-def _drift_sql(column: str) -> str:
+def drift_sql(column: str, old: str = "t_old", new: str = SHIFTED_SQL) -> str:
     terms = "(SELECT unnest(generate_series(1, 100)) AS k)"
     p = (
         f"(SELECT greatest(0, least(1, sum((CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END) * "
@@ -58,20 +56,30 @@ def _drift_sql(column: str) -> str:
     return f"""SELECT '{column}' AS feature, d AS ks_statistic,
   CASE WHEN d * sqrt(n * m / (n + m)) < 0.2 THEN 1 ELSE {p} END AS p_value,
   abs(om - nm) AS mean_diff, abs(os - ns) AS std_diff, d > 0.1 AS drift_detected
-FROM {_ks_sql(column)}, (SELECT avg({column}) AS om, stddev_samp({column}) AS os FROM t_old),
-     (SELECT avg({column}) AS nm, stddev_samp({column}) AS ns FROM {SHIFTED_SQL})"""
+FROM {_ks_sql(column, old, new)}, (SELECT avg({column}) AS om, stddev_samp({column}) AS os FROM {old}),
+     (SELECT avg({column}) AS nm, stddev_samp({column}) AS ns FROM {new})"""
+
+
+NUMERIC_SQL = " UNION ALL ".join(drift_sql(c) for c in NUMERIC)
 
 
-NUMERIC_SQL = " UNION ALL ".join(_drift_sql(c) for c in NUMERIC)
-CATEGORICAL_SQL = f"""
+def categories_sql(old: str = "t_old", new: str = SHIFTED_SQL) -> str:
+    return f"""
 SELECT 'event_type' AS feature, least(1, sum(abs(p - coalesce(q, 0))) / 2) AS js_divergence,
        least(1, sum(abs(p - coalesce(q, 0))) / 2) > 0.1 AS drift_detected
-FROM (SELECT event_type, count(*) / CAST((SELECT count(*) FROM t_old) AS DOUBLE) AS p FROM t_old GROUP BY 1)
-LEFT JOIN (SELECT event_type, count(*) / CAST((SELECT count(*) FROM t_new) AS DOUBLE) AS q FROM {SHIFTED_SQL} GROUP BY 1)
+FROM (SELECT event_type, count(*) / CAST((SELECT count(*) FROM {old}) AS DOUBLE) AS p FROM {old} GROUP BY 1)
+LEFT JOIN (SELECT event_type, count(*) / CAST((SELECT count(*) FROM {new}) AS DOUBLE) AS q FROM {new} GROUP BY 1)
 USING (event_type)"""
-SCORE_SQL = f"""
-SELECT CAST(((SELECT count(*) FROM ({NUMERIC_SQL}) WHERE drift_detected)
-     + (SELECT count(*) FROM ({CATEGORICAL_SQL}) WHERE drift_detected)) AS DOUBLE) / 3 AS overall_drift_score"""
+
+
+def score_sql(numeric: str, categorical: str) -> str:
+    return f"""
+SELECT CAST(((SELECT count(*) FROM ({numeric}) WHERE drift_detected)
+     + (SELECT count(*) FROM ({categorical}) WHERE drift_detected)) AS DOUBLE) / 3 AS overall_drift_score"""
+
+
+CATEGORICAL_SQL = categories_sql()
+SCORE_SQL = score_sql(NUMERIC_SQL, CATEGORICAL_SQL)
 
 
 def _baseline(r: Retail, old: DataFrame) -> monitor.Baseline:
@@ -108,7 +116,7 @@ def _(r: Retail) -> DataFrame:
 def _(r: Retail) -> DataFrame:
     old, new = halves(r)
     base = _baseline(r, old)
-    drift = monitor.numeric_drift(base.numeric, base.sample, shifted(new), NUMERIC)
+    drift = monitor.numeric_drift(base.numeric, base.values, shifted(new), NUMERIC)
     return rounded(rounded(drift, "ks_statistic", digits=9), "p_value", "mean_diff", "std_diff")
 
 
@@ -140,7 +148,7 @@ def _(r: Retail) -> DataFrame:
 def _drift(r: Retail) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     old, new = halves(r)
     base, moved = _baseline(r, old), shifted(new)
-    num = settle(monitor.numeric_drift(base.numeric, base.sample, moved, NUMERIC), "drift")
+    num = settle(monitor.numeric_drift(base.numeric, base.values, moved, NUMERIC), "drift")
     cat = settle(monitor.categorical_drift(base.categorical, moved, CATEGORICAL), "drift")
     return num, cat, monitor.drift_score(num, cat, 3), moved
 
@@ -201,11 +209,14 @@ def _(r: Retail) -> DataFrame:
     )
 
 
+RETRAIN_SQL = f"""SELECT score > 0.5 AS needs_retraining, CASE WHEN score > 0.5
+  THEN printf('Severe data drift detected: %.2f', score) ELSE 'No significant issues detected' END AS reason
+FROM (SELECT arg_max(score, day) AS score FROM ({ALERTS_SQL}))"""
+
+
 @query(
     "mon_retrain_decision",
-    f"""SELECT score > 0.5 AS needs_retraining, CASE WHEN score > 0.5
-  THEN printf('Severe data drift detected: %.2f', score) ELSE 'No significant issues detected' END AS reason
-FROM (SELECT arg_max(score, day) AS score FROM ({ALERTS_SQL}))""",
+    RETRAIN_SQL,
 )
 def _(r: Retail) -> DataFrame:
     """The decision on the day of the newest alert."""

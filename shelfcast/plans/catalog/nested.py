@@ -149,15 +149,30 @@ NEWEST_IMPORTANCE_SQL = f"SELECT feature_name, importance_value FROM ({IMPORTANC
   {rd('(predicted_sales - predicted_sales * 0.6) * share')} AS contribution
 FROM t_pred, (SELECT feature_name, importance_value / sum(importance_value) OVER () AS share,
   row_number() OVER (ORDER BY importance_value DESC, feature_name) AS position FROM ({NEWEST_IMPORTANCE_SQL}))
-WHERE position <= 3""",
+WHERE position <= 10""",
 )
 def _(r: Retail) -> DataFrame:
     importance = report.latest_importance(r.feature_importance(), MODEL, "2000")
     predictions = r.predictions().select("id", "predicted_sales")
-    made = explain.importance_contributions(predictions, importance, top=3)
+    made = explain.importance_contributions(predictions, importance)
     return rounded(made.drop("predicted_sales"))
 
 
+FALLBACK_FEATURES = ["onpromotion", "store_nbr", "day_of_week", "month"]
+
+
+@query(
+    "nst_fallback_contrib",
+    f"""SELECT id, feature, {rd('(predicted_sales - predicted_sales * 0.6) * w / sum(w) OVER (PARTITION BY id)')} AS contribution
+FROM t_pred, (VALUES ('onpromotion', 0.3::DOUBLE), ('store_nbr', 0.3 - 0.25::DOUBLE / 3),
+  ('day_of_week', 0.3 - 0.5::DOUBLE / 3), ('month', 0.05::DOUBLE)) AS f(feature, w)""",
+)
+def _(r: Retail) -> DataFrame:
+    """Linearly falling weights, for a model that has no importances."""
+    made = explain.fallback_contributions(r.predictions().select("id", "predicted_sales"), FALLBACK_FEATURES)
+    return rounded(made.select("id", F.inline("feature_contributions")))
+
+
 @query(
     "nst_alert_payload",
     f"SELECT day AS timestamp, {rd('score')} AS score, score > 0.5 AS severe FROM ({ALERTS_SQL})",

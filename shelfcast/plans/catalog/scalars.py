@@ -294,7 +294,7 @@ STORE_TYPES = ["A", "B", "C", "D", "E"]
 def _(r: Retail) -> DataFrame:
     stores = r.stores().select("store_nbr", "type")
     joined = B.join_stores(r.sales().select("store_nbr", "family", "date"), stores)
-    return B.one_hot(joined, B.fit_categories(stores, ["type"]), drop_first=True)
+    return B.one_hot(joined, B.fit_categories(stores, ["type"], most=26), drop_first=True)
 
 
 @query(
@@ -307,7 +307,7 @@ def _(r: Retail) -> DataFrame:
     """Categories fitted without the last family, which then gets all zeros."""
     sales = r.sales().select("store_nbr", "date", "family")
     known = r.raw("part").select(F.col("p_type").alias("family")).where("family <> 'STANDARD'")
-    return B.one_hot(sales, B.fit_categories(known, ["family"]))
+    return B.one_hot(sales, B.fit_categories(known, ["family"], most=1000))
 
 
 @query(

@@ -146,17 +146,23 @@ UNION ALL SELECT store_nbr, 'NEW', date, sales, onpromotion FROM t_sales WHERE f
 
 @query(
     "snk_upsert",
-    f"WITH batch AS ({CORRECTION_SQL}) SELECT * FROM batch UNION ALL "
-    "SELECT s.* FROM t_sales s ANTI JOIN batch b USING (store_nbr, family, date)",
+    """WITH batch AS (
+  SELECT store_nbr, family, date, CASE WHEN store_nbr < 10 THEN sales + 5 ELSE sales + 1 END AS sales, onpromotion
+  FROM t_sales WHERE onpromotion = 1
+  UNION ALL SELECT store_nbr, 'NEW', date, sales, onpromotion FROM t_sales WHERE family = 'PROMO')
+SELECT * FROM batch UNION ALL SELECT s.* FROM t_sales s ANTI JOIN batch b USING (store_nbr, family, date)""",
 )
 def _(r: Retail) -> DataFrame:
-    """Merge a batch into a partitioned table, rewriting the touched partitions only."""
+    """Merge a batch into a partitioned table, rewriting the touched partitions only; the batch
+    repeats keys, and the highest revision of a key wins."""
     path = fresh_path(r.spark, "upsert")
     year = F.year("date")
-    base = r.panel().select(*SALES_COLUMNS).withColumn("year", year)
-    base.write.partitionBy("year").parquet(path)
-    batch = _correction(r).withColumn("year", year)
-    sinks.merge_into_partitions(path, batch, ["store_nbr", "family", "date"], ["year"])
+    sales = r.panel().select(*SALES_COLUMNS)
+    sales.withColumns({"revision": F.lit(0), "year": year}).write.partitionBy("year").parquet(path)
+    first = _correction(r).withColumn("revision", F.lit(1))
+    second = sales.where("onpromotion = 1 AND store_nbr < 10").withColumn("sales", F.col("sales") + 5)
+    batch = first.unionByName(second.withColumn("revision", F.lit(2))).withColumn("year", year)
+    sinks.merge_into_partitions(path, batch, ["store_nbr", "family", "date"], ["year"], "revision")
     return r.spark.read.parquet(path).select(*SALES_COLUMNS)
 
 

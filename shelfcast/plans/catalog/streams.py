@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import monitor
 from shelfcast.plans.catalog.base import query, rd, rounded
-from shelfcast.plans.catalog.monitoring import CATEGORICAL, NUMERIC, split
+from shelfcast.plans.catalog.monitoring import CATEGORICAL, NUMERIC, categories_sql, drift_sql, score_sql, split
 from shelfcast.session import fresh_path
 from shelfcast.sources.retail import Retail
 from shelfcast.streaming import jobs
@@ -28,7 +28,19 @@ def _(r: Retail) -> DataFrame:
     return rounded(stored.select(day, "n", "mean_value", "std_value", "error_rate"))
 
 
-@query("st_drift_alerts")
+LOWER_SQL = (
+    "(SELECT event_id, ts, user_id + 1000 AS user_id, value * 0.5::DOUBLE AS value, event_type FROM t_old)"
+)
+BATCH_SCORE_SQL = score_sql(
+    " UNION ALL ".join(drift_sql(c, LOWER_SQL, "events") for c in NUMERIC), categories_sql(LOWER_SQL, "events")
+)
+
+
+@query(
+    "st_drift_alerts",
+    f"""SELECT CAST(0 AS BIGINT) AS batch_id, 'data_drift' AS type, (SELECT count(*) FROM events) AS n_rows,
+  (SELECT overall_drift_score FROM ({BATCH_SCORE_SQL})) AS score""",
+)
 def _(r: Retail) -> DataFrame:
     """Alerts of the micro-batches against a baseline whose values were lower."""
     old = r.raw("events").where(F.col("ts") < split())

@@ -18,6 +18,8 @@ from shelfcast.session import settle
 from shelfcast.spec import SALES
 
 STORE_TEXT = ("city", "state", "type")
+#: Indicator columns that one text of the stores may add to a feature table.
+MOST_STORE_CATEGORIES = 1000
 GAP_PREFIXES = ("sales_lag", "sales_roll", "transactions_lag")
 FIRST_DAY = dt.date(2015, 1, 28)
 
@@ -56,7 +58,7 @@ def _with_transactions(df: DataFrame, transactions: DataFrame, fill: bool) -> Da
 
 
 def store_categories(tables: Mapping[str, DataFrame]) -> dict[str, list]:
-    return features.fit_categories(tables["stores"], STORE_TEXT) if "stores" in tables else {}
+    return features.fit_categories(tables["stores"], STORE_TEXT, MOST_STORE_CATEGORIES) if "stores" in tables else {}
 
 
 def train_features(
@@ -170,7 +172,7 @@ def training_run(
     shaped = shaped.withColumnRenamed("__family", "family_name")
     numeric = shaped.drop("family_name")
     chosen = model.select_features(numeric.drop("date"), selection, threshold, gbt=gbt)
-    names = [row["feature"] for row in chosen.collect()]  # feature names, at most max_features
+    names = [row["feature"] for row in chosen.collect()]  # feature names: columns of the table
     folded = model.time_folds(
         shaped.withColumnRenamed("family_name", "family"), ["date", "store_nbr", "family"], folds
     )

@@ -48,9 +48,16 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/shelfcast/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str = "stage") -> DataFrame:
+def settle(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends at a table that
-    outlives executors, and later plans see its true size."""
+    outlives executors, and later plans see its true size. ``options`` go to the writer."""
     path = fresh_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
+    remove_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system drop an intermediate table when the driver ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)

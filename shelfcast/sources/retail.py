@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions.numeric import correlation
 from shelfcast.functions.text import prediction_id
 from shelfcast.operators import evaluate
+from shelfcast.operators.ordered import ordered_index
 from shelfcast.session import settle
 
 PROMO_DISCOUNT = 0.08
@@ -35,6 +36,9 @@ HOLIDAYS: list[tuple[dt.date, str, str, str, bool]] = (
     ]
 )
 
+#: Derived tables of this process, shared by all queries over the same folder.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
 
 class Retail:
     """Retail tables of one data folder; every method returns a lazy DataFrame."""
@@ -43,7 +47,6 @@ class Retail:
         self.spark = spark
         self.root = root
         self._opened: dict[str, DataFrame] = {}
-        self._stored: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         """A raw table; opened once, since opening reads file footers."""
@@ -75,10 +78,11 @@ class Retail:
         )
 
     def _store(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """A derived table, written once to the shared folder and read from there afterwards."""
-        if name not in self._stored:
-            self._stored[name] = settle(make(), name)
-        return self._stored[name]
+        """A derived table, written once per application and folder and read from there afterwards."""
+        key = (self.spark.sparkContext.applicationId, self.root, name)
+        if key not in _STORED:
+            _STORED[key] = settle(make(), name)
+        return _STORED[key]
 
     def panel(self) -> DataFrame:
         """The sales panel as a stored table, for work that reads it more than once: the large
@@ -103,9 +107,11 @@ class Retail:
 
     def families(self) -> DataFrame:
         """id, name: the distinct part types numbered in name order."""
+        return self._store("families", self._families)
+
+    def _families(self) -> DataFrame:
         names = self.raw("part").select(F.col("p_type").alias("name")).distinct()
-        order = Window.orderBy("name")  # one row per part type, a short fixed list
-        return names.select(F.row_number().over(order).alias("id"), "name")
+        return ordered_index(names, [], ["name"], "rank").select(F.col("rank").cast("int").alias("id"), "name")
 
     def transactions(self) -> DataFrame:
         customer = self.raw("customer").select("c_custkey", F.col("c_nationkey").alias("store_nbr"))

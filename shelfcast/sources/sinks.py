@@ -38,36 +38,56 @@ def newest_per_key(batch: DataFrame, keys: Sequence[str], version: str) -> DataF
     return picked.select(*keys, "__row.*").select(*batch.columns)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` replace rows of ``old`` with the same key; the others are kept."""
-    return old.join(new.select(*keys), list(keys), "left_anti").unionByName(new)
+def without_keys(old: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``old`` whose key, nulls included, does not occur in ``batch``."""
+    gone = batch.select(*[F.col(k).alias(f"__gone_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__gone_{k}")) for k in keys]
+    return old.join(gone, same, "left_anti")
+
+
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """Rows of ``new`` replace rows of ``old`` with the same key; the others are kept. Of several new rows
+    with one key the one with the highest ``version`` wins. A null is a key value like any other."""
+    newest = newest_per_key(new, keys, version)
+    return without_keys(old, newest, keys).unionByName(newest)
 
 
 def delete_and_insert(old: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Remove every old row whose key occurs in the batch, then add the batch (which may hold
     several rows per key)."""
-    gone = batch.select(*keys).distinct()
-    return old.join(gone, list(keys), "left_anti").unionByName(batch)
+    return without_keys(old, batch, keys).unionByName(batch)
 
 
 def merge_into_partitions(
-    path: str, batch: DataFrame, keys: Sequence[str], partition: Sequence[str]
+    path: str, batch: DataFrame, keys: Sequence[str], partition: Sequence[str], version: str
 ) -> None:
-    """Upsert into a partitioned Parquet table, rewriting only the partitions the batch touches.
+    """Upsert into a partitioned Parquet table, rewriting only the partitions the batch touches: those
+    it writes to and those that hold an old row of one of its keys, which may move.
 
     The merged rows are staged in the shared folder first: a table must not be
     overwritten while it is being read.
     """
     spark = batch.sparkSession
-    touched = batch.select(*partition).distinct()
-    old = spark.read.parquet(path).join(F.broadcast(touched), list(partition), "left_semi")
-    staged = settle(upsert(old.select(*batch.columns), batch, keys), "merge")
+    stored = spark.read.parquet(path)
+    wanted = batch.select(*[F.col(k).alias(f"__key_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+    before = stored.join(wanted, same, "left_semi").select(*partition)
+    touched = settle(batch.select(*partition).union(before).distinct(), "touched")
+    inside = touched.select(*[F.col(c).alias(f"__part_{c}") for c in partition])
+    here = [F.col(c).eqNullSafe(F.col(f"__part_{c}")) for c in partition]
+    old = stored.join(inside, here, "left_semi").select(*batch.columns)
+    staged = settle(upsert(old, batch, keys, version), "merge")
     (
         staged.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition)
         .parquet(path)
     )
+    emptied = touched.join(staged.select(*partition).distinct(), list(partition), "left_anti")
+    for row in emptied.collect():  # partitions that lost their last row: at most as many as partitions
+        where = "/".join(f"{c}={row[c]}" for c in partition)
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{where}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def get_or_create(dim: DataFrame, names: DataFrame, name: str = "name") -> DataFrame:

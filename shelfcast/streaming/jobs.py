@@ -76,7 +76,7 @@ def drift_alerts(
     def check(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            num = monitor.numeric_drift(baseline.numeric, baseline.sample, kept, numeric)
+            num = monitor.numeric_drift(baseline.numeric, baseline.values, kept, numeric)
             cat = monitor.categorical_drift(baseline.categorical, kept, categorical)
             score = monitor.drift_score(num, cat, len(numeric) + len(categorical))
             facts = kept.agg(F.count(F.lit(1)).alias("n_rows"), F.max("ts").alias("at"))

@@ -251,7 +251,7 @@ def test_unseen_category_gets_the_overall_mean(spark):
 
 
 def test_one_hot_unknown_is_all_zero(spark):
-    fitted = features.fit_categories(series(spark, [1], family="A").unionByName(series(spark, [1], family="B")), ["family"])
+    fitted = features.fit_categories(series(spark, [1], family="A").unionByName(series(spark, [1], family="B")), ["family"], most=9)
     row = features.one_hot(series(spark, [1], family="Z"), fitted).first()
     assert "family" not in row and (row.family_A, row.family_B) == (0, 0)
 
@@ -326,13 +326,13 @@ def test_categorical_drift(spark):
 
 def test_ks_of_identical_samples(spark):
     df = series(spark, range(50))
-    row = monitor.numeric_drift(monitor.profile_numeric(df, ["sales"]), df, df, ["sales"]).first()
+    row = monitor.numeric_drift(monitor.profile_numeric(df, ["sales"]), monitor.value_counts(df), df, ["sales"]).first()
     assert row.ks_statistic == 0 and row.p_value == 1.0 and not row.drift_detected
 
 
 def test_ks_of_disjoint_samples(spark):
     old, new = series(spark, range(50)), series(spark, range(100, 150))
-    row = monitor.numeric_drift(monitor.profile_numeric(old, ["sales"]), old, new, ["sales"]).first()
+    row = monitor.numeric_drift(monitor.profile_numeric(old, ["sales"]), monitor.value_counts(old, ["sales"]), new, ["sales"]).first()
     assert row.ks_statistic == 1.0 and row.p_value < 1e-6 and row.drift_detected
 
 
@@ -441,6 +441,67 @@ def test_newest_per_key(spark):
     assert {r.k: r.x for r in sinks.newest_per_key(df, ["k"], "v").collect()} == {1: "b", 2: "c"}
 
 
+def groups_with_null(spark):
+    rows = [(g, i, float(v)) for g in ("a", None) for i, v in enumerate((1, 10, 5))]
+    return spark.createDataFrame(rows, "g string, i int, v double")
+
+
+def test_null_groups_are_kept(spark):
+    df = groups_with_null(spark)
+    medians = distribution.quantiles(df, ["g"], "v", {"median": 0.5}).collect()
+    assert {r.g: r["median"] for r in medians} == {"a": 5.0, None: 5.0}
+    numbered = ordered.ordered_index(df, ["g"], ["i"], "n").collect()
+    assert sorted((r.g or "", r.i, r.n, r.n_total) for r in numbered) == [
+        (g, i, i + 1, 3) for g in ("", "a") for i in range(3)
+    ]
+    def sums(window):
+        return {"two": F.sum("v").over(window.rowsBetween(-1, 0))}
+    sliced = ordered.sliced_window(df, ["g"], ["i"], sums, reach=1, slice_rows=2).collect()
+    assert sorted((r.g or "", r.i, r.two) for r in sliced) == [
+        (g, i, t) for g in ("", "a") for i, t in enumerate((1.0, 11.0, 15.0))
+    ]
+
+
+def test_ranges_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "RANGE_ROWS", 10)
+    assert ordered.range_count(spark.range(1000)) == 100
+    numbered = ordered.ordered_index(spark.range(1000).toDF("i"), [], ["i"], "n")
+    assert numbered.where("n != i + 1").count() == 0
+
+
+def test_upsert_keeps_one_row_per_key(spark):
+    old = spark.createDataFrame([(1, "o", 0), (2, "o", 0), (None, "o", 0)], "k int, x string, v int")
+    new = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "n", 1), (3, "c", 1)], "k int, x string, v int")
+    merged = sinks.upsert(old, new, ["k"], "v").collect()
+    assert sorted((r.k or 0, r.x) for r in merged) == [(0, "n"), (1, "b"), (2, "o"), (3, "c")]
+
+
+def test_merge_moves_rows_between_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    shape = "k int, x string, v int, p int"
+    rows = [(1, "o", 0, 1), (2, "o", 0, 2), (3, "o", 0, 3)]
+    spark.createDataFrame(rows, shape).write.partitionBy("p").parquet(path)
+    batch = spark.createDataFrame([(1, "n", 1, 2), (1, "late", 2, 2)], shape)
+    sinks.merge_into_partitions(path, batch, ["k"], ["p"], "v")
+    found = spark.read.parquet(path).collect()
+    assert sorted((r.k, r.x, r.p) for r in found) == [(1, "late", 2), (2, "o", 2), (3, "o", 3)]
+
+
+@pytest.mark.parametrize(
+    "errors, patience, best",
+    [
+        ([5, 4, 4, 4, 3, 6], 50, 5),  # a gain returns after flat rounds
+        ([5, 4, 6, 6, 6, 3], 3, 2),  # it comes too late
+        ([1], 50, 1),
+        ([3, 3, 3], 50, 1),  # ties: the earliest
+    ],
+)
+def test_best_round(errors, patience, best):
+    from shelfcast.operators import model
+
+    assert model.best_round(errors, patience) == best
+
+
 def test_empty_input_gives_empty_output(spark):
     none = series(spark, [1]).where("1 = 0")
     assert none.withColumns(V.rolling("sales")).count() == 0
