@@ -89,7 +89,8 @@ def cut_pieces(
                     starts.append(at // width)
                     lengths.append(len(own) // width)
                     sums.append(zlib.crc32(own))
-                    ids.append(own)
+                    if with_ids:
+                        ids.append(own)
             columns = [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32())]
             columns += [pa.array(x, pa.int64()) for x in (starts, lengths, sums)]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
