@@ -33,7 +33,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality field does not call bad; without labels all stay."""
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0).select("doc_id", "quality")
-    field = quality.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    field = quality.fit(docs, labels)
     score = free_name(docs, "quality_score")
     return same_columns(quality.score(docs, field, score).where(F.col(score) >= MIN_QUALITY), docs)
 

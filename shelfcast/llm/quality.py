@@ -183,8 +183,9 @@ def final_scores(field: Field, means: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-(field.slope * _log_odds(means) + field.shift)))
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field | None:
-    """Train on a bounded sample of ``text`` and ``quality`` (0 or 1); null if a label is missing. At most
+def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field | None:
+    """Train on the ``text`` of a bounded sample of ``labels`` (``doc_id`` and ``quality``, 0 or 1); null if one
+    of both is missing. The sample has at most ``sample_rows`` rows, so it can be broadcast. At most
     ``LINES_PER_TEXT`` neighbouring lines of a document are taken, from a place that depends on its text."""
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,11 +201,11 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field | None:
                 names=["quality", "rows", "sizes"],
             )
 
-    usable = labelled.where(F.col("quality").isin(0, 1) & F.col("text").isNotNull()).select(
-        "text", F.col("quality").cast("int").alias("quality")
-    )
+    known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
+    sample = bounded_sample(known.dropDuplicates(["doc_id"]), sample_rows, seed=3)
+    usable = documents.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     shape = "quality int, rows binary, sizes binary"
-    found = bounded_sample(usable, sample_rows, seed=3).mapInArrow(prepare, shape).collect()
+    found = usable.select("text", "quality").mapInArrow(prepare, shape).collect()
     labels = np.array([r.quality for r in found], np.float64)
     if len(set(labels)) < 2:
         return None

@@ -83,7 +83,7 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of one fold in five are never learnt from."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0).select("doc_id", "quality")
-    field = quality.fit(documents.join(labels, "doc_id"))
+    field = quality.fit(documents, labels)
     return quality.score(documents, field).select(
         "doc_id",
         (fold("doc_id", 5) == 0).alias("held_out"),
