@@ -156,7 +156,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], default: str = "allow")
     judged = asked
     cascades = {}
     for verdict in sorted(set(verdicts.values())):
-        listed = spark.createDataFrame([(k,) for k, v in verdicts.items() if v == verdict], "key string")
+        keys = F.array(*[F.lit(k) for k, v in verdicts.items() if v == verdict])
+        listed = spark.range(1).select(F.explode(keys).alias("key"))
         cascades[verdict] = Cascade(listed, universe)
         judged = cascades[verdict].with_filters(judged, f"{verdict}_")
     found = judged
