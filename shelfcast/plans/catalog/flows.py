@@ -103,48 +103,79 @@ def _(r: Retail) -> DataFrame:
     return _comparable(flows.test_features(retail_tables(r, CUT)))
 
 
+def _listed(df: DataFrame, part: str, item, **figures) -> DataFrame:
+    """A summary as rows of ``part, item, figure, amount``: one row per figure."""
+    rows = [F.struct(F.lit(name).alias("figure"), column.cast("double").alias("amount")) for name, column in figures.items()]
+    return df.select(F.lit(part).alias("part"), item.cast("string").alias("item"), F.inline(F.array(*rows)))
+
+
+STORE_MEANS_SQL = "SELECT store_nbr, avg(sales) AS m FROM t_sales GROUP BY 1"
+
+
 @query(
     "pipe_eda",
-    f"""SELECT 'promo ' || onpromotion AS item, {rd('avg(sales)')} AS figure FROM t_sales GROUP BY onpromotion
-UNION ALL SELECT 'weekday ' || dayname(date), {rd('avg(sales)')} FROM t_sales GROUP BY 1
-UNION ALL SELECT 'family ' || family, {rd('avg(sales)')} FROM t_sales GROUP BY 1
-UNION ALL SELECT 'days', CAST(count(DISTINCT date) AS DOUBLE) FROM t_sales""",
+    f"""SELECT 'promo' AS part, CAST(onpromotion AS VARCHAR) AS item, 'mean' AS figure, {rd('avg(sales)')} AS amount
+FROM t_sales GROUP BY onpromotion
+UNION ALL SELECT 'weekday', dayname(date), 'mean', {rd('avg(sales)')} FROM t_sales GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'family', family, 'mean', {rd('m')} FROM (SELECT family, avg(sales) AS m FROM t_sales
+  GROUP BY 1) ORDER BY m DESC, family LIMIT 15)
+UNION ALL SELECT 'day', CAST(date AS VARCHAR), 'total', {rd('sum(sales)')} FROM t_sales GROUP BY date
+UNION ALL SELECT * FROM (SELECT 'city', city, 'mean', {rd('m')} FROM (SELECT city, avg(m) AS m FROM ({STORE_MEANS_SQL})
+  JOIN t_stores USING (store_nbr) GROUP BY 1) ORDER BY m DESC, city LIMIT 10)
+UNION ALL SELECT 'holiday', CAST(h AS VARCHAR), unnest(['mean', 'days']), unnest([m, n]) FROM (
+  SELECT CAST(date IN (SELECT date FROM t_active WHERE locale = 'National') AS INTEGER) AS h, {rd('avg(sales)')} AS m,
+  CAST(count(*) AS DOUBLE) AS n FROM (SELECT date, sum(sales) AS sales FROM t_sales GROUP BY 1) GROUP BY 1)
+UNION ALL SELECT 'oil', CAST(date AS VARCHAR), unnest(['sales', 'price']), unnest([s, o]) FROM (
+  SELECT date, {rd('d.sales')} AS s, {rd('o.dcoilwtico')} AS o
+  FROM (SELECT date, sum(sales) AS sales FROM t_sales GROUP BY 1) d LEFT JOIN ({OIL_DAILY_SQL}) o USING (date))""",
 )
 def _(r: Retail) -> DataFrame:
-    """Several exploratory summaries as one list of figures."""
+    """All seven exploratory summaries as one list of figures."""
     made = flows.explore(r.panel(), r.stores(), r.holidays(), r.oil())
-    out = made["promo_mean"].select(F.concat(F.lit("promo "), "onpromotion").alias("item"), F.col("mean_sales").alias("figure"))
-    out = out.unionByName(
-        made["weekday_mean"].select(F.concat(F.lit("weekday "), "day_name").alias("item"), F.col("mean_sales").alias("figure"))
-    )
-    out = out.unionByName(
-        made["family_mean"].select(F.concat(F.lit("family "), "family").alias("item"), F.col("mean_sales").alias("figure"))
-    )
-    days = made["oil_relation"].agg(F.count(F.lit(1)).cast("double").alias("figure"))
-    return rounded(out.unionByName(days.select(F.lit("days").alias("item"), "figure")))
+    parts = [
+        _listed(made["promo_mean"], "promo", F.col("onpromotion"), mean=F.col("mean_sales")),
+        _listed(made["weekday_mean"], "weekday", F.col("day_name"), mean=F.col("mean_sales")),
+        _listed(made["family_mean"], "family", F.col("family"), mean=F.col("mean_sales")),
+        _listed(made["daily_total"], "day", F.col("date"), total=F.col("sales")),
+        _listed(made["city_mean"], "city", F.col("city"), mean=F.col("mean_sales")),
+        _listed(
+            made["holiday_impact"], "holiday", F.col("is_holiday"), mean=F.col("mean_daily_sales"), days=F.col("days")
+        ),
+        _listed(made["oil_relation"], "oil", F.col("date"), sales=F.col("sales"), price=F.col("dcoilwtico")),
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts))
+
+
+ACCURACY_SQL = """count(*) AS n, avg(p - a) AS mean_error, avg(abs(p - a)) AS mae, sqrt(avg((p - a) ** 2)) AS rmse,
+  avg(abs(p - a) / a * 100) AS mape"""
 
 
 @query(
     "pipe_report",
-    f"""SELECT 'avg_sales' AS item, {rd('avg(sales)')} AS figure FROM t_facts
-UNION ALL SELECT 'stores', CAST(count(DISTINCT store_id) AS DOUBLE) FROM t_facts
-UNION ALL SELECT 'mape', {rd('avg(abs(predicted - actual) / actual * 100)')} FROM t_pairs WHERE actual > 0
-UNION ALL SELECT 'family ' || name, sum(sales) FROM t_facts JOIN t_families f ON f.id = family_id GROUP BY 1
-UNION ALL SELECT * FROM (SELECT 'store ' || (store_id - 1), sum(sales) AS s FROM t_facts GROUP BY 1, store_id
-                         ORDER BY s DESC, store_id LIMIT 10)""",
+    f"""WITH ok AS (SELECT predicted AS p, actual AS a FROM t_pairs WHERE actual > 0),
+  acc AS (SELECT {ACCURACY_SQL} FROM ok)
+SELECT 'kpi' AS part, 'all' AS item, unnest(['avg_sales', 'stores']) AS figure,
+  unnest([{rd('avg(sales)')}, CAST(count(DISTINCT store_id) AS DOUBLE)]) AS amount FROM t_facts
+UNION ALL SELECT 'accuracy', 'all', unnest(['count', 'mean_error', 'mae', 'rmse', 'mape', 'forecast_accuracy']),
+  unnest([CAST(n AS DOUBLE), {rd('mean_error')}, {rd('mae')}, {rd('rmse')}, {rd('mape')}, {rd('greatest(0, 100 - mape)')}])
+FROM acc
+UNION ALL SELECT 'family', name, 'total', sum(sales) FROM t_facts JOIN t_families f ON f.id = family_id GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'store', CAST(store_id - 1 AS VARCHAR), 'sales', sum(sales) AS s FROM t_facts
+                         GROUP BY 2, store_id ORDER BY s DESC, store_id LIMIT 10)""",
 )
 def _(r: Retail) -> DataFrame:
+    """Key figures, all accuracy figures, and sales by family and for the top stores."""
     sales = r.panel()
-    facts = r.historical_sales(sales)
-    made = flows.business_report(facts, r.predictions(sales), r.stores(), r.families())
-    kpi = made["kpi"]
-    figure = lambda df, item, col: df.select(item.alias("item"), col.cast("double").alias("figure"))
-    out = figure(kpi, F.lit("avg_sales"), F.col("avg_sales"))
-    out = out.unionByName(figure(kpi, F.lit("stores"), F.col("total_stores")))
-    out = out.unionByName(figure(made["accuracy"], F.lit("mape"), F.col("mape")))
-    out = out.unionByName(figure(made["families"], F.concat(F.lit("family "), "family"), F.col("total_sales")))
-    out = out.unionByName(figure(made["stores"], F.concat(F.lit("store "), "store_nbr"), F.col("sales")))
-    return rounded(out)
+    made = flows.business_report(r.historical_sales(sales), r.predictions(sales), r.stores(), r.families())
+    accuracy = ("count", "mean_error", "mae", "rmse", "mape", "forecast_accuracy")
+    every = F.lit("all")
+    parts = [
+        _listed(made["kpi"], "kpi", every, avg_sales=F.col("avg_sales"), stores=F.col("total_stores")),
+        _listed(made["accuracy"], "accuracy", every, **{c: F.col(c) for c in accuracy}),
+        _listed(made["families"], "family", F.col("family"), total=F.col("total_sales")),
+        _listed(made["stores"], "store", F.col("store_nbr"), sales=F.col("sales")),
+    ]
+    return rounded(reduce(DataFrame.unionByName, parts))
 
 
 @query(
