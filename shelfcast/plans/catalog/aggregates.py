@@ -267,7 +267,7 @@ JOIN t_stores s ON s.id = store_id""",
 def store_top10(r: Retail) -> DataFrame:
     sales = r.panel()
     facts = r.historical_sales(sales)
-    pairs = evaluate.pair(r.predictions(sales), facts)
+    pairs = r.pairs()
     return rounded(report.store_top(facts, pairs, r.stores(), 10), "forecast_accuracy")
 
 
@@ -293,7 +293,7 @@ def _(r: Retail) -> DataFrame:
 def _(r: Retail) -> DataFrame:
     sales = r.panel()
     facts = r.historical_sales(sales)
-    return rounded(report.kpi_summary(facts, evaluate.pair(r.predictions(sales), facts)))
+    return rounded(report.kpi_summary(facts, r.pairs()))
 
 
 @query(
@@ -342,12 +342,10 @@ def _(r: Retail) -> DataFrame:
     "agg_model_metrics",
     f"SELECT model_version, count, {rds('rmse mae mape r2')} FROM "
     f"(SELECT model_version, count(*) AS count, {METRIC_COLUMNS} FROM t_pairs "
-    "WHERE contains(model_version, '199') GROUP BY 1)",
+    "GROUP BY 1)",
 )
 def _(r: Retail) -> DataFrame:
-    sales = r.panel()
-    pairs = evaluate.pair(r.predictions(sales), r.historical_sales(sales), version_contains="199")
-    return rounded(evaluate.model_metrics(pairs, ["model_version"]))
+    return rounded(evaluate.model_metrics(r.pairs(), ["model_version"]))
 
 
 EVAL_SQL = (

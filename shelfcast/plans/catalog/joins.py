@@ -125,7 +125,8 @@ def _(r: Retail) -> DataFrame:
 
 @query("jn_pred_actual", f"SELECT id, store_id, family_id, target_date, {rds('predicted')}, actual FROM t_pairs")
 def _(r: Retail) -> DataFrame:
-    pairs = r.pairs().select("id", "store_id", "family_id", "target_date", "predicted", "actual")
+    joined = evaluate.pair(r.predictions(), r.historical_sales())
+    pairs = joined.select("id", "store_id", "family_id", "target_date", "predicted", "actual")
     return rounded(pairs, "predicted")
 
 

@@ -33,14 +33,8 @@ def _(r: Retail) -> DataFrame:
 
 def _forecasts(r: Retail) -> DataFrame:
     """Forecasts under food-family names with the flag of national holidays."""
-    sales = r.panel()
-    keys = sales.select("store_nbr", "family", "date", "onpromotion")
-    past = r.predictions(sales).select("id", "store_id", "family_id", "target_date", "predicted_sales")
-    stores = r.stores().select(F.col("id").alias("store_id"), "store_nbr")
-    families = r.families().select(F.col("id").alias("family_id"), F.col("name").alias("family"))
-    named = past.join(stores, "store_id").join(families, "family_id")
-    named = named.withColumnRenamed("target_date", "date").drop("store_id", "family_id")
-    joined = named.join(keys, ["store_nbr", "family", "date"]).replace(FOOD, subset=["family"])
+    made = r.forecasts().withColumnRenamed("target_date", "date").replace(FOOD, subset=["family"])
+    joined = made.select("id", "store_nbr", "family", "date", "predicted_sales", "onpromotion")
     return B.flag_dates(joined, B.active_holidays(r.holidays(), "National"))
 
 

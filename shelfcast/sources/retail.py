@@ -151,9 +151,9 @@ class Retail:
         keyed = sales.join(stores, "store_nbr").join(families, "family")
         return keyed.select("store_id", "family_id", "date", "sales", "onpromotion")
 
-    def predictions(self, sales: DataFrame | None = None) -> DataFrame:
+    def forecasts(self, sales: DataFrame | None = None) -> DataFrame:
         """One-step forecasts: mean of the previous 7 rows of the series, no forecast for the
-        first row."""
+        first row. ``actual``, ``store_nbr`` and ``family`` of the same row stay beside it."""
         sales = self.panel() if sales is None else sales
         past = Window.partitionBy("store_nbr", "family").orderBy("date").rowsBetween(-7, -1)
         scored = sales.withColumns(
@@ -177,8 +177,15 @@ class Retail:
             (F.col("predicted_sales") + band).alias("prediction_interval_upper"),
             F.year("date").cast("string").alias("model_version"),
             F.date_sub("date", 1).alias("created_at"),
+            "store_nbr",
+            "family",
+            F.col("sales").alias("actual"),
         )
 
+    def predictions(self, sales: DataFrame | None = None) -> DataFrame:
+        """The forecasts as a table of predictions, without what became of them."""
+        return self.forecasts(sales).drop("store_nbr", "family", "actual")
+
     def event_panel(self) -> DataFrame:
         """(store_nbr, family, date, sales) from the event table: a short, nearly dense panel."""
         return (
@@ -194,7 +201,10 @@ class Retail:
     # --- stored model tables ------------------------------------------------------------------
 
     def pairs(self) -> DataFrame:
-        return evaluate.pair(self.predictions(), self.historical_sales())
+        """Forecasts with their actuals, which come from the row of the forecast itself; predictions
+        from elsewhere are joined by ``evaluate.pair``."""
+        made = self.forecasts().drop("store_nbr", "family")
+        return made.withColumnRenamed("predicted_sales", "predicted")
 
     def model_metrics(self) -> DataFrame:
         """Metrics per model version and month, one row per metric; a stored table."""
