@@ -338,15 +338,18 @@ def trend_status(daily: DataFrame, threshold: float = 0.6, slack: float = 0.95)
 
 
 def content_digest(df: DataFrame, day: Column, columns: Sequence[Column]) -> DataFrame:
-    """(day, n_rows, digest) per day. Row digests are added up, so neither row order nor
-    partitioning matters and the sum combines before its shuffle."""
+    """(day, n_rows, digest) per day. The digests of the rows are added up in five parts that fit a number, so
+    neither row order nor partitioning matters and the sums combine before their shuffle."""
     text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("\\N")) for c in columns])
-    head = F.substring(F.sha2(text, 256), 1, 13)  # 52 bits
-    number = F.conv(head, 16, 10).cast("decimal(38,0)")
+    whole = F.sha2(text, 256)
+    parts = {  # 13 hex digits are 52 bits
+        f"part{i}": F.conv(F.substring(whole, 13 * i + 1, 13), 16, 10).cast("decimal(38,0)") for i in range(5)
+    }
+    sums = [F.sum(name).cast("string") for name in parts]
     return (
-        df.select(day.alias("day"), number.alias("part"))
+        df.select(day.alias("day"), *[c.alias(name) for name, c in parts.items()])
         .groupBy("day")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("part").cast("string").alias("digest"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *sums).alias("digest"))
     )
 
 

@@ -123,16 +123,17 @@ def _(r: Retail) -> DataFrame:
 @query(
     "mon_mean_shift",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS feature, {rd('d')} AS ks_statistic, CAST(CASE WHEN d > 2 THEN 0.05 ELSE 0.5 END AS DOUBLE) AS p_value,
-  d > 0.1 AS drift_detected FROM (SELECT abs((SELECT avg({c}) FROM t_old) - (SELECT avg({c}) FROM {SHIFTED_SQL}))
-  / greatest((SELECT stddev_samp({c}) FROM t_old), 1e-6) AS d)"""
+        f"""SELECT '{c}' AS feature, {rd('d / greatest(os, 1e-6)')} AS ks_statistic,
+  CAST(CASE WHEN d / greatest(os, 1e-6) > 2 THEN 0.05 ELSE 0.5 END AS DOUBLE) AS p_value, {rd('d')} AS mean_diff,
+  {rd('abs(os - ns)')} AS std_diff, d / greatest(os, 1e-6) > 0.1 AS drift_detected
+  FROM (SELECT abs((SELECT avg({c}) FROM t_old) - (SELECT avg({c}) FROM {SHIFTED_SQL})) AS d,
+  (SELECT stddev_samp({c}) FROM t_old) AS os, (SELECT stddev_samp({c}) FROM {SHIFTED_SQL}) AS ns)"""
         for c in NUMERIC
     ),
 )
 def _(r: Retail) -> DataFrame:
     old, new = halves(r)
-    shift = monitor.mean_shift(monitor.profile_numeric(old, NUMERIC), shifted(new), NUMERIC)
-    return rounded(shift.drop("mean_diff", "std_diff"))
+    return rounded(monitor.mean_shift(monitor.profile_numeric(old, NUMERIC), shifted(new), NUMERIC))
 
 
 @query(
@@ -281,11 +282,16 @@ def _(r: Retail) -> DataFrame:
     return rounded(monitor.density_compare(old, new, NUMERIC, 20))
 
 
+_DIGEST_PARTS = " || '-' || ".join(
+    f"CAST(sum(CAST(CAST('0x' || substring(d, {13 * i + 1}, 13) AS BIGINT) AS DECIMAL(38, 0))) AS VARCHAR)" for i in range(5)
+)
+
+
 @query(
     "mon_content_digest",
-    """SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows, CAST(sum(CAST(CAST('0x' || substring(sha256(
-  event_id || '|' || user_id || '|' || event_type || '|' || CAST(round(value * 100) AS BIGINT) || '|' || coalesce(props, '\\N')
-), 1, 13) AS BIGINT) AS DECIMAL(38, 0))) AS VARCHAR) AS digest FROM events GROUP BY 1""",
+    f"""SELECT day, count(*) AS n_rows, {_DIGEST_PARTS} AS digest
+FROM (SELECT CAST(ts AS DATE) AS day, sha256(event_id || '|' || user_id || '|' || event_type || '|' ||
+  CAST(round(value * 100) AS BIGINT) || '|' || coalesce(props, '\\N')) AS d FROM events) GROUP BY 1""",
 )
 def _(r: Retail) -> DataFrame:
     cents = F.round(F.col("value") * 100).cast("bigint")

@@ -261,22 +261,29 @@ FROM (SELECT CAST(sum(old) OVER w AS DOUBLE) AS o, CAST(sum(new) OVER w AS DOUBL
       WINDOW w AS (ORDER BY v))"""
 
 
-def ks_sql(feature: str, value: str, old: str, table: str) -> str:
-    body = KS_SQL.format(value, old, table)
-    return f"SELECT '{feature}' AS feature, {rd('ks_statistic', 9)} AS ks_statistic, n_baseline, n_new FROM ({body})"
+def _ks_with_p(feature: str, value: str, old: str, table: str) -> str:
+    """The distance with the Kolmogorov series beside it."""
+    series = (
+        "(SELECT greatest(0, least(1, sum((CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END) * exp(-2 * j * j * x * x)))) "
+        "FROM (SELECT unnest(generate_series(1, 100)) AS j))"
+    )
+    return f"""SELECT '{feature}' AS feature, {rd('ks_statistic', 9)} AS ks_statistic, n_baseline, n_new,
+  {rd(f'CASE WHEN x < 0.2 THEN 1 ELSE {series} END')} AS p_value
+FROM (SELECT *, ks_statistic * sqrt(n_baseline * n_new / (n_baseline + n_new)) AS x
+      FROM ({KS_SQL.format(value, old, table)}))"""
 
 
 @query(
     "win_ks",
-    ks_sql("value", "value", "ts < TIMESTAMP '2024-01-16'", "events")
+    _ks_with_p("value", "value", "ts < TIMESTAMP '2024-01-16'", "events")
     + " UNION ALL "
-    + ks_sql("user_id", "user_id", "ts < TIMESTAMP '2024-01-16'", "events"),
+    + _ks_with_p("user_id", "user_id", "ts < TIMESTAMP '2024-01-16'", "events"),
 )
 def _(r: Retail) -> DataFrame:
     old = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
     events = r.raw("events").withColumn("old", old)
     long = distribution.to_long(events, ["value", "user_id"], keep=["old"])
-    return rounded(distribution.ks_statistic(long, "old").drop("p_value"), digits=9)
+    return rounded(rounded(distribution.ks_statistic(long, "old"), "ks_statistic", digits=9), "p_value")
 
 
 @query(
