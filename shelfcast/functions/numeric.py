@@ -93,6 +93,7 @@ def metric_grade(metric: Column, value: Column) -> Column:
     def graded(good: Column, fair: Column) -> Column:
         return F.when(good, "good").when(fair, "warning").otherwise("bad")
 
+    # The limits of the grades.
     return (
         F.when(metric.isin("accuracy", "r2"), graded(value >= 0.8, value >= 0.6))
         .when(metric.isin("rmse", "mae"), graded(value <= 10, value <= 25))

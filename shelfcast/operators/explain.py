@@ -117,6 +117,7 @@ FAMILY_WEIGHT = {
 
 def explain_unscaled(df: DataFrame) -> DataFrame:
     """Fixed-weight variant: contributions above 0.05 in size, at most ten, largest first."""
+    # The weights of the variant.
     day = F.col("date")
     items = F.array(
         _sortable(

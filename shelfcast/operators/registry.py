@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from graphlib import CycleError, TopologicalSorter
@@ -98,10 +99,10 @@ def apply(df: DataFrame, fitted: Fitted) -> DataFrame:
 
 
 def save_parameters(fitted: Fitted, spark: SparkSession, path: str) -> None:
-    """Scaler and categories as tables."""
+    """Scaler and categories as tables; a category is stored as JSON, which keeps numbers numbers."""
     if fitted.scaler is not None:
         fitted.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
-    rows = [(c, i, str(v)) for c, vs in fitted.categories.items() for i, v in enumerate(vs)]
+    rows = [(c, i, json.dumps(v)) for c, vs in fitted.categories.items() for i, v in enumerate(vs)]
     spark.createDataFrame(rows, "feature string, position int, category string").write.mode(
         "overwrite"
     ).parquet(f"{path}/categories")
@@ -112,7 +113,7 @@ def load_parameters(spark: SparkSession, path: str, standardized: Sequence[str]
     rows = spark.read.parquet(f"{path}/categories").orderBy("feature", "position").collect()
     categories: dict[str, list] = {}
     for row in rows:
-        categories.setdefault(row["feature"], []).append(row["category"])
+        categories.setdefault(row["feature"], []).append(json.loads(row["category"]))
     scaler = spark.read.parquet(f"{path}/scaler") if standardized else None
     return Fitted(list(standardized), scaler, categories)
 

@@ -159,3 +159,10 @@ def rolling_on_long_groups(
 
     reach = max([*steps, *[n - 1 for n in sizes]])
     return sliced_window(df, by, order, features, reach, slice_rows)
+
+
+def repeated_days(df: DataFrame, spec: PanelSpec = SALES) -> DataFrame:
+    """Keys and days with more than one row, and how many they have. Window features assume a panel, in
+    which there are none."""
+    days = df.groupBy(*spec.keys, spec.time).agg(F.count(F.lit(1)).alias("n_rows"))
+    return days.where(F.col("n_rows") > 1)

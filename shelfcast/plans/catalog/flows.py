@@ -60,9 +60,22 @@ _TRANS_SQL = (
 OIL_NAMES = ("dcoilwtico", "oil_price_7d_avg", "oil_price_30d_avg")
 
 
+# The stores of the test tables: one per nation, in five regions and five types; the first value of
+# each, in sorted order, has no indicator.
+INDICATORS_SQL = ", ".join(
+    f"CAST({column} = '{value}' AS INTEGER) AS \"{column}_{value}\""
+    for column, values in {
+        "city": [f"NATION_{i}" for i in range(1, 25)],
+        "state": ["AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+        "type": list("BCDE"),
+    }.items()
+    for value in values
+)
+
+
 def _features_sql(panel: str, train: str, trans: str, missing_trans: str, where: str, oil: str) -> str:
     return f"""SELECT p.store_nbr, p.family, p.date, p.sales, p.onpromotion, cluster, {PARTS_SQL.replace('date', 'p.date')},
-  CAST(type = 'B' AS INTEGER) AS type_B, {rds(OIL_NAMES, 9)}, {', '.join(f'coalesce({c}, 0) AS {c}' for c in FLAG_NAMES)},
+  {INDICATORS_SQL}, {rds(OIL_NAMES, 9)}, {', '.join(f'coalesce({c}, 0) AS {c}' for c in FLAG_NAMES)},
   {missing_trans} AS transactions, {', '.join(f'coalesce({c}, 0) AS {c}' for c in TRANS_LAGS)},
   {', '.join(LAG_NAMES)}, {rds(ROLLS)},
   {rd('coalesce(fm, (SELECT avg(sales) FROM ' + train + '))')} AS family_sales_mean,
@@ -76,10 +89,8 @@ WHERE {where}"""
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """The wide table without the data-driven indicator columns but one."""
-    keep = [c for c in df.columns if not c.startswith(("city_", "state_", "type_")) or c == "type_B"]
-    out = df.select(*keep)
-    return rounded(rounded(out, *OIL_NAMES, digits=9), *ROLLS, "family_sales_mean", "store_nbr_sales_mean")
+    """The wide table with its computed figures rounded."""
+    return rounded(rounded(df, *OIL_NAMES, digits=9), *ROLLS, "family_sales_mean", "store_nbr_sales_mean")
 
 
 @query(

@@ -322,3 +322,17 @@ def _(r: Retail) -> DataFrame:
     return rows.select(
         "store_nbr", "family", "date", "c.feature", "c.contribution", (F.col("pos") + 1).alias("position")
     )
+
+
+LINES_SQL = """SELECT s_nationkey AS store_nbr, p_type AS family, CAST(l_shipdate AS DATE) AS date
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey"""
+
+
+@query(
+    "win_repeated_days",
+    f"""SELECT store_nbr, family, date, count(*) AS n_rows FROM ({LINES_SQL}) GROUP BY 1, 2, 3 HAVING count(*) > 1
+UNION ALL SELECT store_nbr, family, date, count(*) FROM t_sales GROUP BY 1, 2, 3 HAVING count(*) > 1""",
+)
+def _(r: Retail) -> DataFrame:
+    """Where the order lines are no panel yet; the panel itself adds no row."""
+    return V.repeated_days(r.lines()).unionByName(V.repeated_days(r.panel()))

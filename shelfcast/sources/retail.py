@@ -54,12 +54,12 @@ class Retail:
             self._opened[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._opened[name]
 
-    def sales(self) -> DataFrame:
-        """(store_nbr, family, date, sales, onpromotion), one row per key and day.
+    def lines(self) -> DataFrame:
+        """(store_nbr, family, date, l_quantity, promo) of every order line.
 
         Join sides are left to Spark: it broadcasts part and supplier while their
         files are small and sort-merges them beyond, splitting hot keys at run
-        time. The final sum combines before its shuffle.
+        time.
         """
         part = self.raw("part").select("p_partkey", F.col("p_type").alias("family"))
         supplier = self.raw("supplier").select("s_suppkey", F.col("s_nationkey").alias("store_nbr"))
@@ -70,11 +70,15 @@ class Retail:
             "l_quantity",
             (F.col("l_discount") >= PROMO_DISCOUNT).cast("int").alias("promo"),
         )
-        return (
-            lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
-            .join(part, lines.l_partkey == part.p_partkey)
-            .groupBy("store_nbr", "family", "date")
-            .agg(F.sum("l_quantity").alias("sales"), F.max("promo").alias("onpromotion"))
+        return lines.join(supplier, lines.l_suppkey == supplier.s_suppkey).join(
+            part, lines.l_partkey == part.p_partkey
+        )
+
+    def sales(self) -> DataFrame:
+        """(store_nbr, family, date, sales, onpromotion), one row per key and day. The sum combines
+        before its shuffle."""
+        return self.lines().groupBy("store_nbr", "family", "date").agg(
+            F.sum("l_quantity").alias("sales"), F.max("promo").alias("onpromotion")
         )
 
     def _store(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
