@@ -146,6 +146,22 @@ def _(r: Retail) -> DataFrame:
     return rounded(monitor.categorical_drift(base, shifted(new), CATEGORICAL))
 
 
+_SHARES_SQL = "(SELECT event_type, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS {} FROM {} GROUP BY 1)"
+
+
+@query(
+    "mon_new_categories",
+    f"""SELECT 'event_type' AS feature, {rd('least(1, sum(abs(coalesce(p, 0) - coalesce(q, 0))) / 2)')} AS js_divergence,
+  least(1, sum(abs(coalesce(p, 0) - coalesce(q, 0))) / 2) > 0.1 AS drift_detected
+FROM {_SHARES_SQL.format('p', 't_old')} FULL JOIN {_SHARES_SQL.format('q', SHIFTED_SQL)} USING (event_type)""",
+)
+def _(r: Retail) -> DataFrame:
+    """Category drift that also counts the categories seen for the first time."""
+    old, new = halves(r)
+    base = monitor.profile_categorical(old, CATEGORICAL)
+    return rounded(monitor.categorical_drift(base, shifted(new), CATEGORICAL, new_categories=True))
+
+
 def _drift(r: Retail) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     old, new = halves(r)
     base, moved = _baseline(r, old), shifted(new)

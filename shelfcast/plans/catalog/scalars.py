@@ -413,6 +413,25 @@ def _(r: Retail) -> DataFrame:
     )
 
 
+LOOSE_SQL = (
+    r"substring(regexp_replace({0}, '(?i)(\b(system|user|assistant):|</?(system|user|assistant)>|\\n\\n)', "
+    r"' ', 'g'), 1, {1})"
+)
+
+
+@query(
+    "str_sanitise_loose",
+    f"SELECT conv_id, turn, {LOOSE_SQL.format(MARKED_SQL, 1000000000)} AS clean FROM conversations",
+)
+def _(r: Retail) -> DataFrame:
+    """The variant that needs no word boundary after a token."""
+    marked = F.concat(
+        "role", F.lit(":x"), F.replace("text", F.lit(". "), F.lit(".user:x")), F.lit("<"), "role", F.lit(">x")
+    )
+    clean = X.sanitise(marked, 1_000_000_000, X.ROLE_TOKENS_LOOSE)
+    return r.raw("conversations").select("conv_id", "turn", clean.alias("clean"))
+
+
 @query(
     "str_validate_limits",
     f"SELECT doc_id, {SANITISE_SQL.format('text', 64)} AS text, "
