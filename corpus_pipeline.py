@@ -14,8 +14,6 @@ from shelfcast.llm import decontaminate, language, packing, quality, simhash
 from shelfcast.llm.common import fold, free_name, same_columns, table
 from shelfcast.session import settle
 
-#: Documents whose pooled language probability is lower count as being in no known language.
-MIN_LANGUAGE_SCORE = 0.35
 #: Documents with a lower quality score go.
 MIN_QUALITY = 0.3
 
@@ -26,7 +24,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     guess, score = free_name(docs, "lang_guess"), free_name(docs, "lang_score")
     judged = language.predict(docs, network, guess, score)
     if network is not None:
-        judged = judged.where((F.col(guess) != language.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE))
+        judged = judged.where(F.col(guess) != language.UNKNOWN)
     return same_columns(judged, docs)
 
 
