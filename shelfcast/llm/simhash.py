@@ -25,6 +25,8 @@ from shelfcast.session import settle
 
 SEED = 42
 BITS = 64
+#: Fingerprints whose variants one task makes, at most on average.
+FINGERPRINTS_A_TASK = 200_000
 
 
 def fingerprint(text: str, shingle_words: int = 3) -> int:
@@ -104,7 +106,9 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 3, max_bits: int
     spark = documents.sparkSession
     own = settle(fingerprints(documents, shingle_words), "fingerprints")
     distinct = settle(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    links = settle(fingerprint_links(distinct.select("fp"), max_bits), "fingerprint-links")
+    # a fingerprint becomes many variants: spread them before that
+    tasks = max(spark.sparkContext.defaultParallelism, -(-distinct.count() // FINGERPRINTS_A_TASK))
+    links = settle(fingerprint_links(distinct.select("fp").repartition(tasks, "fp"), max_bits), "fingerprint-links")
     groups = smallest_reachable(spark, links)
     labelled = distinct.join(groups, distinct.fp == groups.node, "left").select(
         "fp", "first_id", F.coalesce("label", "fp").alias("label")
