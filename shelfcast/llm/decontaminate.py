@@ -24,10 +24,15 @@ from pyspark.sql import functions as F
 from shelfcast.llm.common import same_columns, text_blocks
 from shelfcast.session import settle
 
-#: Masks over 11 positions, 7 of them compared.
-MASKS = ("11101001011", "11010110011", "10111100101", "11111110000")
-#: Benchmark items with fewer tokens than a mask, but this many at least, are looked up as a whole.
-SHORTEST_ITEM = 5
+#: Masks with 7 compared positions. Wherever two of 13 tokens are substituted, one of them still fits in
+#: between at some place; the tests go through all cases.
+MASKS = ("11110111", "1100101111", "111011001001")
+#: The same for items of fewer tokens, by their number and for as many substitutions as it allows.
+SHORT_MASKS = {
+    12: ("11010111", "1110110001", "1100011011"),
+    11: ("1111011", "110001111", "1101100011"),
+    **{n: ("1" * n,) for n in range(5, 11)},
+}
 #: Tokens an overlap must cover (or the whole item, if shorter), and the share that must agree.
 MIN_OVERLAP = 13
 MIN_AGREEMENT = 0.8
@@ -79,20 +84,24 @@ def seed_hashes(tokens: np.ndarray, mask: str) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(32))
 
 
+def item_masks(n_tokens: int) -> tuple[str, ...]:
+    """The masks under which an item of so many tokens is looked up."""
+    return MASKS if n_tokens >= MIN_OVERLAP else SHORT_MASKS.get(n_tokens, ())
+
+
 def _bitmap_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = np.uint64(BITMAP_BITS - 1)
     return hashes & size, (hashes >> np.uint64(32)) & size
 
 
-def benchmark_seeds(items: DataFrame, short: list[int]) -> DataFrame:
-    """``seed, item_id, item_at`` of every window of every item under every mask."""
+def benchmark_seeds(items: DataFrame) -> DataFrame:
+    """``seed, item_id, item_at`` of every window of every item under every mask for its length."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in _token_batches(batches):
             rows, ats, seeds = [], [], []
             for row, tokens in enumerate(blobs):
-                whole = ["1" * len(tokens)] if len(tokens) in short else []
-                for mask in MASKS if len(tokens) >= len(MASKS[0]) else whole:
+                for mask in item_masks(len(tokens)):
                     own = seed_hashes(tokens, mask)
                     rows += [row] * len(own)
                     ats += range(len(own))
@@ -191,7 +200,7 @@ def training_passages(documents: DataFrame, bitmap, masks: list[str]) -> DataFra
                     continue
                 order = np.argsort(at, kind="stable")
                 at, seed = at[order], seed[order].view(np.int64)
-                reach = MIN_OVERLAP + len(MASKS[0])
+                reach = MIN_OVERLAP + max(map(len, MASKS))
                 for own in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > reach) + 1):
                     begin = max(0, int(at[own[0]]) - MIN_OVERLAP)
                     rows.append(row)
@@ -266,18 +275,17 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     An overlap covers at least ``MIN_OVERLAP`` tokens, or the whole item if that is shorter, and in every
     stretch of that length at least ``MIN_AGREEMENT`` of the tokens agree position by position. Tokens
-    are words in lower case without punctuation at their ends. Items below ``SHORTEST_ITEM`` tokens, null and empty texts
-    overlap with nothing. Rows with a null id take part under that id. Repeated rows
+    are words in lower case without punctuation at their ends. Items of 5 to 10 tokens
+    are looked up exactly. Items of fewer, null and empty texts overlap with nothing. Rows with a null id take part under that id. Repeated rows
     give one row; other columns are not read; an empty table on either side gives an empty result.
     """
     spark = documents.sparkSession
     items = settle(benchmark_tokens(benchmark), "benchmark-tokens")
-    size = len(MASKS[0])
-    lengths = items.where(F.col("n_tokens").between(SHORTEST_ITEM, size - 1)).select("n_tokens").distinct()
-    short = sorted(r.n_tokens for r in lengths.collect())  # fewer than the positions of a mask
-    seeds = settle(benchmark_seeds(items, short), "benchmark-seeds")
+    short = items.where(F.col("n_tokens") < MIN_OVERLAP).select("n_tokens").distinct()
+    lengths = sorted(r.n_tokens for r in short.collect())  # at most one row for each
+    seeds = settle(benchmark_seeds(items), "benchmark-seeds")
     bitmap = spark.sparkContext.broadcast(seed_bitmap(seeds))
-    masks = [*MASKS, *("1" * n for n in short)]
+    masks = list(dict.fromkeys([*MASKS, *(m for n in lengths for m in item_masks(n))]))
     passages = settle(
         training_passages(documents, bitmap, masks).withColumn("passage", F.monotonically_increasing_id()),
         "passages",

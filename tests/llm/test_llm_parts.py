@@ -1,6 +1,7 @@
 """The parts of the training-data operators that need no Spark."""
 
 import html
+import itertools
 import random
 import re
 
@@ -141,6 +142,17 @@ def test_some_mask_survives_scattered_substitutions():
         assert any(map(len, hits))
 
 
+@pytest.mark.parametrize("n, substitutions", [(13, 2), (12, 2), (11, 2)])
+def test_some_mask_survives_every_pattern_of_substitutions(n, substitutions):
+    assert n - substitutions >= decontaminate.MIN_AGREEMENT * n > n - substitutions - 1
+    item = np.arange(1, n + 1, dtype=np.uint64)
+    for changed in itertools.combinations(range(n), substitutions):
+        other = item.copy()
+        other[list(changed)] = 99
+        masks = decontaminate.item_masks(n)
+        assert any((decontaminate.seed_hashes(item, m) == decontaminate.seed_hashes(other, m)).any() for m in masks), changed
+
+
 PARA = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore."
 P = f"<p>{PARA}</p>"
 
