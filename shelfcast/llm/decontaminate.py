@@ -12,6 +12,7 @@ The bitmap only saves shuffling: the join decides, however full the bitmap is.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,8 +32,15 @@ MASKS = ("11110111", "1100101111", "111011001001")
 SHORT_MASKS = {
     12: ("11010111", "1110110001", "1100011011"),
     11: ("1111011", "110001111", "1101100011"),
-    **{n: ("1" * n,) for n in range(5, 11)},
+    10: ("110111", "11001011", "1100000111"),
+    9: ("1101111", "11110101"),
+    8: ("110111", "1110011"),
+    7: ("11111", "111011", "1001111"),
+    6: ("11011", "101101"),
+    **{n: ("1" * n,) for n in range(2, 6)},
 }
+#: Items of so many tokens at most must agree in all of them.
+EXACT_ITEM = 5
 #: Tokens an overlap must cover (or the whole item, if shorter), and the share that must agree.
 MIN_OVERLAP = 13
 MIN_AGREEMENT = 0.8
@@ -40,7 +48,16 @@ MIN_AGREEMENT = 0.8
 BITMAP_BITS = 1 << 25
 
 _PUNCTUATION = "".join(map(chr, range(33, 127)))
-_STRIP = "".join(c for c in _PUNCTUATION if not c.isalnum()) + "«»“”‘’„…–—¿¡"
+_STRIP = "".join(c for c in _PUNCTUATION if not c.isalnum()) + "«»“”‘’„…–—¿¡、。〈〉《》「」『』【】〔〕・！（），．：；？［］｛｝～｡｢｣､"
+# Scripts written without blanks between words (Thai, Lao, Myanmar, Khmer, kana, Han), whose characters
+# are tokens, with the marks that follow them.
+_UNSPACED = re.compile(
+    "[\u0e01-\u0e30\u0e32\u0e33\u0e40-\u0e46\u0e50-\u0e59\u0e81-\u0eb0\u0eb2\u0eb3\u0ebd\u0ec0-\u0ec6\u0ed0-\u0edf"
+    "\u1000-\u102a\u103f-\u1055\u1780-\u17b3\u17e0-\u17e9\u3005-\u3007\u3041-\u3096\u309d-\u30fa\u30fc-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U000323af]"
+    "[\u0e31\u0e34-\u0e3a\u0e47-\u0e4e\u0eb1\u0eb4-\u0ebc\u0ec8-\u0ecd\u102b-\u103e\u1056-\u1059\u17b4-\u17d3\u3099\u309a"
+    "\ufe00-\ufe0f\uff9e\uff9f\U000e0100-\U000e01ef]*"
+)
 
 
 class TokenHashes(dict):
@@ -65,6 +82,8 @@ def _hashes() -> TokenHashes:
 
 
 def token_hashes(text: str) -> np.ndarray:
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \g<0> ", text)
     hashes = np.fromiter(map(_hashes().__getitem__, text.split()), np.uint64)
     return hashes[hashes != 0]
 
@@ -232,7 +251,8 @@ def agreeing(item: np.ndarray, passage: np.ndarray, shift: int) -> tuple[int, in
         return 0, 0, 0
     same = item[low:high] == passage[low + shift : high + shift]
     total = np.concatenate([[0], np.cumsum(same)])
-    good = np.flatnonzero(total[need:] - total[:-need] >= MIN_AGREEMENT * need)
+    share = MIN_AGREEMENT if len(item) > EXACT_ITEM else 1
+    good = np.flatnonzero(total[need:] - total[:-need] >= share * need)
     if not len(good):
         return 0, 0, 0
     covered = np.zeros(len(same) + 1, np.int64)
@@ -275,8 +295,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     An overlap covers at least ``MIN_OVERLAP`` tokens, or the whole item if that is shorter, and in every
     stretch of that length at least ``MIN_AGREEMENT`` of the tokens agree position by position. Tokens
-    are words in lower case without punctuation at their ends. Items of 5 to 10 tokens
-    are looked up exactly. Items of fewer, null and empty texts overlap with nothing. Rows with a null id take part under that id. Repeated rows
+    are words in lower case without punctuation at their ends; in scripts without blanks, characters. Items of at
+    most ``EXACT_ITEM`` tokens must agree in all. Items of a single token, null and empty texts overlap with nothing. Rows with a null id take part under that id. Repeated rows
     give one row; other columns are not read; an empty table on either side gives an empty result.
     """
     spark = documents.sparkSession

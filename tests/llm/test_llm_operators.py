@@ -215,6 +215,24 @@ def test_decontamination_edges(spark):
     assert decontaminate.clean_documents(docs, items.limit(0)).count() == 7
 
 
+def test_decontamination_of_short_items(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(2, 14)}
+    allowed = {n: n // 5 if n > 5 else 0 for n in items}
+    docs = []
+    for n, own in items.items():
+        for changed in range(allowed[n] + 2):
+            other = own[:]
+            other[:changed] = ["x"] * changed
+            docs.append((100 * n + changed, "pre " + " ".join(other)))
+    rows = [(n, " ".join(own)) for n, own in items.items()] + [(99, "今日は良い天気ですね。")]
+    docs.append((9900, "明日は、たぶん今日は良い大気ですねと言う。"))
+    found = decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string")
+    ).collect()
+    wanted = {(100 * n + c, n): (1, n, n - c) for n in items for c in range(allowed[n] + 1)}
+    assert {(r.doc_id, r.item_id): (r.doc_from, r.n_overlap, r.n_same) for r in found} == wanted | {(9900, 99): (6, 10, 9)}
+
+
 def test_html(spark):
     pages = read("pages")
     found = {r.page_id: (r.url, r.text, r.n_chars) for r in run(spark, "op3_")}

@@ -142,7 +142,7 @@ def test_some_mask_survives_scattered_substitutions():
         assert any(map(len, hits))
 
 
-@pytest.mark.parametrize("n, substitutions", [(13, 2), (12, 2), (11, 2)])
+@pytest.mark.parametrize("n, substitutions", [(13, 2), (12, 2), (11, 2), (10, 2), (9, 1), (8, 1), (7, 1), (6, 1)])
 def test_some_mask_survives_every_pattern_of_substitutions(n, substitutions):
     assert n - substitutions >= decontaminate.MIN_AGREEMENT * n > n - substitutions - 1
     item = np.arange(1, n + 1, dtype=np.uint64)
@@ -153,6 +153,14 @@ def test_some_mask_survives_every_pattern_of_substitutions(n, substitutions):
         assert any((decontaminate.seed_hashes(item, m) == decontaminate.seed_hashes(other, m)).any() for m in masks), changed
 
 
+def test_scripts_without_blanks_are_cut_by_character():
+    hashes = decontaminate.token_hashes
+    assert len(hashes("今日は、良い天気 ok です。")) == 10
+    assert hashes("今日は良い").tolist() == hashes("今 日 は、良い。").tolist()
+    assert len(hashes("ภาษาไทย กำ กิ่ง")) == 11
+    assert len(hashes("naïve Äpfel «한국어 텍스트» 12")) == 5
+
+
 PARA = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore."
 P = f"<p>{PARA}</p>"
 
