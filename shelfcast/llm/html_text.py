@@ -1,7 +1,8 @@
 """Main text of a web page by composite text density.
 
 A lenient parser builds the tree of a page. Elements that are boilerplate by their very kind (menus,
-forms, scripts, adverts and so on) are taken out of it. For every node the composite text density is
+scripts, hidden parts and so on) are taken out of it; forms and elements with the name of boilerplate are too, unless
+they hold most of the page's text. For every node the composite text density is
 its characters per tag, adjusted for how many of both belong to links; a node's density sum adds up
 the densities of its children (inline markup counts as tags, but is no structure to sum over). The subtree with the largest sum is the core of the article. The
 smallest density on the path from it to the body is the threshold from which other subtrees
@@ -42,9 +43,9 @@ CLOSED_BY = {
 }
 #: An open element of the first kind is not looked for beyond one of the second.
 SCOPES = frozenset("article aside blockquote body div dl fieldset footer form header html main nav ol section table ul".split())
-# What is boilerplate by its element, role, or a word of its class or id.
+# What is boilerplate by its element or role, or by a class or id of such words.
 DROPPED = frozenset(
-    "aside button canvas datalist dialog footer form head iframe input math menu nav noscript object script select "
+    "aside button canvas datalist dialog footer head iframe input math menu nav noscript object script select "
     "style svg template textarea audio video".split()
 )
 DROPPED_ROLES = frozenset(
@@ -56,6 +57,13 @@ DROPPED_WORDS = frozenset(
     "notice notices notification pagination pager popup promo promotion recommended related respond share sharing "
     "sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget".split()
 )
+#: Words that a class or id of boilerplate may have besides.
+NEUTRAL_WORDS = frozenset(
+    "area bar bottom box block button buttons container global inner item items left link links list main outer page primary "
+    "right secondary section site slot top unit wrap wrapper".split()
+)
+#: An article or main element with this share of a page's text beside a larger form or named element is the article.
+ARTICLE_SHARE = 0.2
 KEPT = frozenset("html body main article p h1 h2 h3 h4 h5 h6 pre blockquote".split())
 
 _MARKUP = re.compile(
@@ -69,43 +77,85 @@ _WORD = re.compile(r"[a-z]+")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def is_boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether the element is boilerplate for certain, and whether it is by its name or as a form."""
     if tag in DROPPED or tag == "header" and not in_article:
-        return True
+        return True, False
+    named = tag == "form"
     if not attributes:
-        return False
+        return False, named
     for name, value in _NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         if name == "style" and _HIDING.search(value):
-            return True
+            return True, False
         if tag in KEPT:
             continue
         if name == "role" and value in DROPPED_ROLES:
-            return True
+            return True, False
         if name in ("class", "id"):
-            words = _WORD.findall(value)
-            if not DROPPED_WORDS.isdisjoint(words) or "header" in words and not in_article:
-                return True
-    return False
+            named = named or any(_names_boilerplate(token, in_article) for token in value.split())
+    return False, named
+
+
+def _names_boilerplate(token: str, in_article: bool) -> bool:
+    rest = set(_WORD.findall(token)) - NEUTRAL_WORDS
+    if not in_article:
+        rest.discard("header")
+    found = bool(rest) or not in_article and "header" in token
+    return found and rest <= DROPPED_WORDS
 
 
 class Page:
     """The tree of a page as columns: nodes are numbered in page order, so a subtree is a range.
 
     ``parents``, ``tags`` and ``ends`` (one past the subtree) describe the nodes; ``runs`` holds the
-    texts as ``(node, block, text)``, where a block is what lies between two block boundaries."""
+    texts as ``(node, block, text)``, where a block is what lies between two block boundaries. ``named`` are the
+    nodes that are boilerplate by name only; once all is read, they are ``dropped`` if they are minor."""
 
     def __init__(self, source: str):
         self.tags, self.parents, self.ends, self.dropped = ["body"], [-1], [0], [False]
         self.runs: list[tuple[int, int, str]] = []
+        self.named: list[int] = []
         self._block = 0
         self._stack = [0]
         self._articles = 0
         self._read(source)
         while self._stack:
             self._close()
+        self.linked = [False] * len(self.tags)
+        for node in range(1, len(self.tags)):
+            self.linked[node] = self.tags[node] == "a" or self.linked[self.parents[node]]
+        if self.named:
+            self._drop_named()
+
+    def _drop_named(self) -> None:
+        """Drop the named subtrees, but keep those with most of the page's text outside links, unless the
+        article is plain to see beside them; if no text were left, keep all."""
+        n = len(self.tags)
+        plain = [0] * n
+        for node, _, text in self.runs:
+            if not self.dropped[node] and not self.linked[node]:
+                plain[node] += sum(map(len, text.split()))
+        texts = plain[:]
+        for node in range(n - 1, 0, -1):
+            plain[self.parents[node]] += plain[node]
+        major = {node for node in self.named if 2 * plain[node] > plain[0]}
+        minor = set(self.named) - major
+        inside = [False] * n  # a minor subtree
+        for node in range(1, n):
+            inside[node] = node in minor or inside[self.parents[node]]
+        articles = [
+            i for i in range(1, n)
+            if self.tags[i] in ("article", "main") and not inside[i] and plain[i] >= ARTICLE_SHARE * plain[0]
+        ]
+        dropped = self.dropped[:]
+        for node in range(1, n):
+            beside = node in major and any(i >= self.ends[node] or self.ends[i] <= node for i in articles)
+            dropped[node] = dropped[node] or node in minor or beside or dropped[self.parents[node]]
+        if any(size for size, gone in zip(texts, dropped, strict=True) if not gone):
+            self.dropped = dropped
 
     def _open(self, tag: str, attributes: str) -> None:
         parent = self._stack[-1]
@@ -113,7 +163,10 @@ class Page:
         self.tags.append(tag)
         self.parents.append(parent)
         self.ends.append(node + 1)
-        self.dropped.append(self.dropped[parent] or is_boilerplate(tag, attributes, self._articles > 0))
+        certain, named = is_boilerplate(tag, attributes, self._articles > 0)
+        self.dropped.append(self.dropped[parent] or certain)
+        if named:
+            self.named.append(node)
         self._stack.append(node)
         self._articles += tag == "article"
 
@@ -179,10 +232,8 @@ def main_text(source: str | None) -> str:
         return ""
     page = Page(source)
     n = len(page.tags)
-    linked = [False] * n
+    linked = page.linked
     chars, link_chars, tag_count, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-    for node in range(1, n):
-        linked[node] = page.tags[node] == "a" or linked[page.parents[node]]
     all_chars = all_links = 0
     for node, _, text in page.runs:
         size = sum(map(len, text.split()))

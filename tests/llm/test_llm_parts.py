@@ -186,6 +186,27 @@ def test_main_text(source, text):
     assert html_text.main_text(source) == text
 
 
+@pytest.mark.parametrize("opening", [
+    "<div class='content has-sidebar'>", "<div class=no-comments>", "<div class=related-story>", "<div id=share-price>",
+    "<div class='content sidebar'>", "<div class=widget>", "<form method=post>", "<form><div class='banner'>",
+])
+def test_named_containers_keep_the_article(opening):
+    closing = "</div></form>" if opening.startswith("<form><div") else "</form>" if "form" in opening else "</div>"
+    around = f"<nav>menu</nav>{opening}<h1>T</h1>{P * 3}<div class='ad-slot'>{PARA}</div><form>Mail<input></form>{closing}"
+    assert html_text.main_text(around) == "\n".join(["T", *[PARA] * 3])
+
+
+def test_minor_named_parts_go():
+    for name in ("sidebar", "main-nav", "sidebar-left", "ad-slot-2", "site-header", "cookie-notice", "comments"):
+        assert html_text.main_text(f"<div class='{name}'>{P}</div><div class=text>{P * 2}</div>") == f"{PARA}\n{PARA}", name
+    for name in ("share-price", "related-story", "no-comments"):
+        assert html_text.main_text(f"<div class=text>{P * 2}<div class='{name}'>{P}</div></div>") == "\n".join([PARA] * 3), name
+    assert html_text.main_text(f"<article>{P * 2}</article><div id=comments>{P * 5}</div>") == f"{PARA}\n{PARA}"
+    assert html_text.main_text(f"<form><article>{P * 2}</article><div id=comments>{P * 5}</div></form>") == f"{PARA}\n{PARA}"
+    assert html_text.main_text(f"<div class=widget><article>{P * 2}</article></div><p>x") == f"{PARA}\n{PARA}"
+    assert html_text.main_text(f"<div class=widget>{P}</div>" * 3) == "\n".join([PARA] * 3)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "<a href='x'>", "</a>", "<li>", "word ", "<script>", "</script>", "<!--", "-->", "<", ">", "&amp;", "\""]), max_size=40))
 def test_any_markup_is_read(parts):
