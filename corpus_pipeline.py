@@ -38,11 +38,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every near-duplicate component, once; rows without an id
-    stay."""
-    groups = simhash.near_duplicates(docs.where(F.col("doc_id").isNotNull()), shingle_words=3, max_bits=2)
-    firsts = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id").dropDuplicates(["doc_id"])
-    return same_columns(kept, docs).union(docs.where(F.col("doc_id").isNull()))
+    stay. Rows that share an id are only near-duplicates if their texts are."""
+    kept = simhash.first_of_each(docs.where(F.col("doc_id").isNotNull()), shingle_words=3, max_bits=2)
+    return kept.union(docs.where(F.col("doc_id").isNull()))
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,8 +18,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfcast.llm.common import text_blocks
+from shelfcast.llm.common import free_name, same_columns, text_blocks
 from shelfcast.llm.components import smallest_reachable
 from shelfcast.session import settle
 
@@ -103,18 +104,43 @@ def near_duplicates(documents: DataFrame, shingle_words: int = 3, max_bits: int
     component of the others, or null if it has no id at all. Copies meet in their common
     fingerprint and are never expanded into pairs. An empty table gives an empty result.
     """
-    spark = documents.sparkSession
     own = settle(fingerprints(documents, shingle_words), "fingerprints")
+    labelled = labelled_fingerprints(own, max_bits)
+    firsts = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    by_fp = labelled.join(firsts, "label").select("fp", "component_id")
+    return own.join(by_fp, "fp").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def labelled_fingerprints(own: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, first_id, label`` of every distinct fingerprint of ``own`` (``doc_id, fp``): its smallest doc_id
+    and a label that is the same all over its component and nowhere else."""
+    spark = own.sparkSession
     distinct = settle(own.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     # a fingerprint becomes many variants: spread them before that
     tasks = max(spark.sparkContext.defaultParallelism, -(-distinct.count() // FINGERPRINTS_A_TASK))
     links = settle(fingerprint_links(distinct.select("fp").repartition(tasks, "fp"), max_bits), "fingerprint-links")
     groups = smallest_reachable(spark, links)
-    labelled = distinct.join(groups, distinct.fp == groups.node, "left").select(
+    return distinct.join(groups, distinct.fp == groups.node, "left").select(
         "fp", "first_id", F.coalesce("label", "fp").alias("label")
     )
-    firsts = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    by_fp = labelled.join(firsts, "label").select("fp", "component_id")
-    return own.join(by_fp, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+
+
+def first_of_each(documents: DataFrame, shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
+    """One row of every near-duplicate component, with all its columns: one with the smallest doc_id. Rows that
+    share an id but are not near each other are in components of their own. No doc_id may be null; ``text`` is a string."""
+    fp = free_name(documents, "fp")
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_blocks(batches, "text"):
+            own = np.array([fingerprint(t, shingle_words) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own.view(np.int64))], names=[*names, fp])
+
+    names = documents.columns
+    shape = StructType([*documents.schema.fields, StructField(fp, LongType())])
+    own = settle(documents.mapInArrow(make, shape), "fingerprinted-rows")
+    labelled = labelled_fingerprints(own.select("doc_id", F.col(f"`{fp}`").alias("fp")), max_bits)
+    firsts = labelled.groupBy("label").agg(F.min(F.struct("first_id", "fp")).alias("first"))
+    firsts = firsts.select(F.col("first.first_id").alias("doc_id"), F.col("first.fp").alias(fp))
+    return same_columns(own.join(firsts, ["doc_id", fp]).dropDuplicates(["doc_id", fp]), documents)

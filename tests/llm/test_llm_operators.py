@@ -377,6 +377,15 @@ def test_pipeline_stages(spark, odd, tmp_path):
     assert 8 not in [r.doc_id for r in corpus_pipeline.without_leaks(spark, odd, str(tmp_path)).collect()]
 
 
+def test_pipeline_keeps_one_row_of_each_component(spark, tmp_path):
+    rows = [(3, "red fox runs over the hill"), (7, "red fox runs over the hill"), (7, "blue whale dives under cold ice"),
+            (8, "green parrot sings in a tree"), (8, "old clock strikes at noon today"), (9, "green parrot sings in a tree")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, fp int")
+    kept = corpus_pipeline.one_of_each(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(rows[i] for i in (0, 2, 3, 4))
+
+
 def test_pipeline_against_its_parts(spark, texts):
     d = read("documents")
     rows = contract.queries()["pipeline"](spark, FOLDER).collect()
