@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
+    codes,
     decontaminate,
     html_text,
     language,
@@ -136,3 +137,62 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of the url rules on every page."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), RULES)
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds unrolled: one assignment and one update per round, over components as rows."""
+    steps = [
+        f"""kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND list_aggregate(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)), 'bool_and')),
+width AS (SELECT len(v) AS w FROM kept ORDER BY vec_id NULLS LAST, v LIMIT 1),
+comps AS (
+    SELECT vec_id, label, (i - 1) * {parts} // w AS pos, (i - 1) - ((i - 1) * {parts} // w) * (w // {parts}) AS j, v[i] AS val
+    FROM kept, width, range(1, w + 1) t(i) WHERE len(v) = w),
+b0 AS (
+    SELECT c.pos, f.entry, c.j, c.val FROM comps c JOIN (
+        SELECT vec_id, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry
+        FROM kept, width WHERE len(v) = w ORDER BY vec_id NULLS LAST, v LIMIT {entries}) f USING (vec_id))"""
+    ]
+    for r in range(1, rounds + 2):
+        steps.append(
+            f"""a{r} AS (
+    SELECT vec_id, pos, entry, dist FROM (
+        SELECT c.vec_id, c.pos, b.entry, sum((c.val - b.val) * (c.val - b.val)) AS dist
+        FROM comps c JOIN b{r - 1} b ON c.pos = b.pos AND c.j = b.j GROUP BY c.vec_id, c.pos, b.entry)
+    QUALIFY row_number() OVER (PARTITION BY vec_id, pos ORDER BY dist, entry) = 1)"""
+        )
+        if r <= rounds:
+            steps.append(
+                f"""m{r} AS (
+    SELECT a.pos, a.entry, c.j, sum(c.val)::HUGEINT AS s, count(*) AS n
+    FROM a{r} a JOIN comps c ON a.vec_id = c.vec_id AND a.pos = c.pos GROUP BY a.pos, a.entry, c.j),
+b{r} AS (
+    SELECT b.pos, b.entry, b.j,
+        coalesce(CAST((m.s - ((m.s % m.n) + m.n) % m.n) // m.n AS BIGINT), b.val) AS val
+    FROM b{r - 1} b LEFT JOIN m{r} m ON b.pos = m.pos AND b.entry = m.entry AND b.j = m.j)"""
+            )
+    last = rounds + 1
+    steps.append(
+        f"""coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY pos) AS code, sum(dist)::BIGINT AS error
+    FROM a{last} GROUP BY vec_id),
+labelled AS (SELECT c.*, k.label FROM coded c JOIN kept k USING (vec_id))"""
+    )
+    return (
+        "WITH "
+        + ",\n".join(steps)
+        + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(coalesce(string_agg(CAST(val AS VARCHAR), ',' ORDER BY pos, entry, j), '')) FROM b{rounds}) AS codebooks_sha256
+FROM labelled
+"""
+    )
+
+
+@query("op11_vector_codes", _codes_sql())
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every whole vector: 8 parts, 16 entries a part, 6 Lloyd rounds."""
+    return codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
