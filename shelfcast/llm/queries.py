@@ -12,6 +12,7 @@ from shelfcast.llm import (
     decontaminate,
     html_text,
     language,
+    lexical,
     neighbours,
     packing,
     quality,
@@ -196,3 +197,28 @@ FROM labelled
 def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product codes of every whole vector: 8 parts, 16 entries a part, 6 Lloyd rounds."""
     return codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS.format("text")} AS t FROM documents),
+stats AS (SELECT count(*) FILTER (WHERE len(t) > 0) AS nd, coalesce(sum(len(t)), 0) AS nt FROM d),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) GROUP BY ALL),
+q AS (SELECT item_id, unnest(t) AS term FROM (SELECT DISTINCT item_id, {_TERMS.format("text")} AS t FROM benchmark)),
+df AS (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM q) GROUP BY term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0 * nd + 2) / (2.0 * df + 1))) AS BIGINT) AS w FROM df, stats),
+imp AS (
+    SELECT tf.doc_id, tf.term,
+        w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * len(d.t) * nd) // nt))) AS imp
+    FROM tf JOIN w USING (term) JOIN d USING (doc_id), stats),
+s AS (SELECT q.item_id, imp.doc_id, CAST(sum(imp.imp) AS BIGINT) AS score FROM q JOIN imp USING (term) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query("op12_lexical_search", SEARCH_SQL)
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item, over all documents."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
