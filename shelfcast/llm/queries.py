@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import (
     codes,
+    cover,
     decontaminate,
     html_text,
     language,
@@ -222,3 +223,9 @@ FROM s WHERE score > 0 QUALIFY rank <= 20
 def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every benchmark item, over all documents."""
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query("op13_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every vector: cosine 0.98 or more within a label."""
+    return cover.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
