@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,6 +105,26 @@ def best_round(errors: Sequence[float], patience: int) -> int:
     return best + 1
 
 
+def prefix(fitted: PipelineModel, rounds: int) -> PipelineModel:
+    """The fitted pipeline with the first ``rounds`` trees and weights of its ensemble: what a fit of that many
+    rounds grows, as tree ``k`` depends only on the trees before it (no subsampling)."""
+    booster = fitted.stages[-1]
+    found = booster._java_obj
+    context = SparkSession.active().sparkContext
+    jvm, gateway = context._jvm, context._gateway
+    keep = min(rounds, len(booster.trees))
+    trees, weights = found.trees(), found.treeWeights()
+    first = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
+    scale = gateway.new_array(jvm.double, keep)
+    for i in range(keep):
+        first[i], scale[i] = trees[i], weights[i]
+    shorter = jvm.org.apache.spark.ml.regression.GBTRegressionModel(found.uid(), first, scale, found.numFeatures())
+    made = GBTRegressionModel(shorter)
+    made._transfer_params_from_java()
+    made.setFeaturesCol(booster.getFeaturesCol()).setPredictionCol(booster.getPredictionCol())
+    return PipelineModel([*fitted.stages[:-1], made])
+
+
 def train_with_early_stop(
     df: DataFrame,
     features: Sequence[str],
@@ -113,14 +133,13 @@ def train_with_early_stop(
     gbt: GBTRegressor | None = None,
 ) -> PipelineModel:
     """Boost all rounds on the rows not marked by ``validation``, and keep the rounds up to the smallest error on
-    the marked ones by the rule of ``best_round``. The same seed grows the same first trees, so
-    the shorter model is grown again with that number of rounds."""
+    the marked ones by the rule of ``best_round``: one fit, whose first trees are kept (``prefix``)."""
     booster = gbt or regressor()
     seen, held = df.where(~validation), df.where(validation)
     fitted = train(seen, features, booster)
     errors = fitted.stages[-1].evaluateEachIteration(fitted.stages[0].transform(held), "squared")
     kept = best_round(errors, patience)
-    return fitted if kept == len(errors) else train(seen, features, booster.copy().setMaxIter(kept))
+    return fitted if kept == len(errors) else prefix(fitted, kept)
 
 
 def importance(model: PipelineModel, features: Sequence[str], spark: SparkSession) -> DataFrame:
