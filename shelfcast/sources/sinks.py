@@ -31,10 +31,12 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def newest_per_key(batch: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
-    """One row per key, the one with the highest ``version``. ``max_by`` combines before the
-    shuffle, so a key repeated very often is no hot spot."""
+    """One row per key, the one with the highest ``version``; a null version ranks below every other, and
+    equal versions are settled by the rest of the row, so a key whose versions are all null keeps a whole
+    row of its own. ``max_by`` combines before the shuffle, so a key repeated very often is no hot spot."""
     rest = [c for c in batch.columns if c not in keys]
-    picked = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), version).alias("__row"))
+    order = F.struct(F.col(version).isNotNull(), F.col(version), F.struct(*rest))
+    picked = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__row"))
     return picked.select(*keys, "__row.*").select(*batch.columns)
 
 
