@@ -31,10 +31,10 @@ def quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, one column per entry of ``probs``.
 
-    Values are counted first, so repeated values travel once; the running count
+    Nulls and NaN are left out. Values are counted first, so repeated values travel once; the running count
     then tells which value sits at each rank.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
+    counts = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(*by, value).agg(
         F.count(F.lit(1)).alias("n")
     )
     ranked = running_totals(
