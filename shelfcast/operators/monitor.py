@@ -338,9 +338,13 @@ def trend_status(daily: DataFrame, threshold: float = 0.6, slack: float = 0.95)
 
 
 def content_digest(df: DataFrame, day: Column, columns: Sequence[Column]) -> DataFrame:
-    """(day, n_rows, digest) per day. The digests of the rows are added up in five parts that fit a number, so
-    neither row order nor partitioning matters and the sums combine before their shuffle."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("\\N")) for c in columns])
+    """(day, n_rows, digest) per day. A row is written as its values, each with its length in front
+    (``3:abc``), a null as ``\\N``, joined by ``|``: no two different rows give one text. The digests of the
+    rows are added up in five parts that fit a number, so neither row order nor partitioning matters and the
+    sums combine before their shuffle."""
+    text = F.concat_ws(
+        "|", *[F.coalesce(F.concat(F.length(c.cast("string")), F.lit(":"), c.cast("string")), F.lit("\\N")) for c in columns]
+    )
     whole = F.sha2(text, 256)
     parts = {  # 13 hex digits are 52 bits
         f"part{i}": F.conv(F.substring(whole, 13 * i + 1, 13), 16, 10).cast("decimal(38,0)") for i in range(5)

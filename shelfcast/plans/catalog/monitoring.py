@@ -303,11 +303,15 @@ _DIGEST_PARTS = " || '-' || ".join(
 )
 
 
+#: A value with its length in front, null as \\N, as ``monitor.content_digest`` writes it.
+_SIZED = "coalesce(length(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '\\N')"
+
+
 @query(
     "mon_content_digest",
     f"""SELECT day, count(*) AS n_rows, {_DIGEST_PARTS} AS digest
-FROM (SELECT CAST(ts AS DATE) AS day, sha256(event_id || '|' || user_id || '|' || event_type || '|' ||
-  CAST(round(value * 100) AS BIGINT) || '|' || coalesce(props, '\\N')) AS d FROM events) GROUP BY 1""",
+FROM (SELECT CAST(ts AS DATE) AS day, sha256(concat_ws('|', {", ".join(_SIZED.format(x) for x in ("event_id", "user_id", "event_type", "CAST(round(value * 100) AS BIGINT)", "props"))})) AS d
+FROM events) GROUP BY 1""",
 )
 def _(r: Retail) -> DataFrame:
     cents = F.round(F.col("value") * 100).cast("bigint")
