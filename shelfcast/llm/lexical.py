@@ -63,6 +63,16 @@ class RangeMax:
             span *= 2
         self.levels = levels
 
+    def many(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``best`` of many ranges at once."""
+        j = np.frexp((b - a).astype(np.float64))[1] - 1
+        found = np.empty(len(a), dtype=np.int64)
+        for level in np.unique(j):
+            m = j == level
+            left, right = self.levels[level][a[m]], self.levels[level][b[m] - (1 << int(level))]
+            found[m] = np.where(self.impacts[right] > self.impacts[left], right, left)
+        return found
+
     def best(self, a: int, b: int) -> int:
         """Position of the largest impact in ``[a, b)``, which must not be empty."""
         j = int(b - a).bit_length() - 1
@@ -88,6 +98,11 @@ def search(lists: list[tuple[int, np.ndarray, RangeMax]], documents: int, k: int
                     top, at = part, int(docs[p])
         return total, at
 
+    return best_first(bound, documents, k)
+
+
+def best_first(bound, documents: int, k: int) -> list[tuple[int, int]]:
+    """Pop intervals by (bound, first document); split one at the document of its largest contribution."""
     found: list[tuple[int, int]] = []
     first, at = bound(0, documents)
     heap = [(-first, 0, documents, at)]
@@ -106,6 +121,31 @@ def search(lists: list[tuple[int, np.ndarray, RangeMax]], documents: int, k: int
     return found
 
 
+class ShardIndex:
+    """All posting lists of a shard end to end, keyed by ``term * documents + document``, with one table of
+    range maxima; a query's bound over an interval takes all its terms in a few array operations."""
+
+    def __init__(self, term: np.ndarray, at: np.ndarray, impacts: np.ndarray, documents: int):
+        self.documents = documents
+        self.key = term.astype(np.int64) * documents + at
+        self.rmq = RangeMax(impacts)
+
+    def search(self, terms: np.ndarray, repeats: np.ndarray, k: int) -> list[tuple[int, int]]:
+        base = terms.astype(np.int64) * self.documents
+
+        def bound(lo: int, hi: int) -> tuple[int, int]:
+            a, b = np.searchsorted(self.key, base + lo), np.searchsorted(self.key, base + hi)
+            live = a < b
+            if not live.any():
+                return 0, -1
+            p = self.rmq.many(a[live], b[live])
+            part = repeats[live] * self.rmq.impacts[p]
+            top = int(np.argmax(part))
+            return int(part.sum()), int(self.key[p[top]] - base[live][top])
+
+        return best_first(bound, self.documents, k)
+
+
 def _shard_search(k: int, queries: dict):
     """The function every shard runs: range maxima of its posting lists, then every query."""
 
@@ -115,20 +155,18 @@ def _shard_search(k: int, queries: dict):
             return pd.DataFrame(out)
         docs = postings[["has_doc", "doc_id", "thash", "mult"]].drop_duplicates()
         docs = docs.sort_values(["has_doc", "doc_id", "thash"], ascending=[False, True, True]).reset_index(drop=True)
-        place = {(h, d, t): i for i, (h, d, t) in enumerate(zip(docs.has_doc, docs.doc_id, docs.thash, strict=True))}
-        postings = postings.assign(
-            at=[place[(h, d, t)] for h, d, t in zip(postings.has_doc, postings.doc_id, postings.thash, strict=True)]
-        ).sort_values(["term", "at"])
-        index = {}
-        for term, part in postings.groupby("term", sort=False):
-            at = part["at"].to_numpy()
-            index[term] = (at, RangeMax(part["impact"].to_numpy(dtype=np.int64)))
+        placed = postings.merge(docs.assign(at=np.arange(len(docs))), on=["has_doc", "doc_id", "thash", "mult"])
+        code, names = pd.factorize(placed["term"])
+        order = np.lexsort((placed["at"].to_numpy(), code))
+        index = ShardIndex(code[order], placed["at"].to_numpy()[order], placed["impact"].to_numpy(dtype=np.int64)[order], len(docs))
+        number = {t: i for i, t in enumerate(names)}
         for (has_item, item_id), asked in queries.items():
-            lists = [(q, *index[t]) for t, q in asked if t in index]
-            if not lists:
+            held = [(number[t], q) for t, q in asked if t in number]
+            if not held:
                 continue
+            found = index.search(np.array([t for t, _ in held]), np.array([q for _, q in held], dtype=np.int64), k)
             taken = 0
-            for i, score in search(lists, len(docs), k):
+            for i, score in found:
                 for c in range(int(docs.mult[i])):
                     if taken == k:
                         break
@@ -153,12 +191,12 @@ def rank(
 ) -> DataFrame:
     """``item_id, rank, doc_id, score``: every item's ``k`` best documents with a score above 0."""
     spark = documents.sparkSession
-    rows = documents.select(
+    rows = settle(documents.select(
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0)).alias("doc_id"),
         F.col(f"`{doc_id}`").isNotNull().alias("has_doc"),
         F.xxhash64(F.col(f"`{text}`")).alias("thash"),
         terms(F.col(f"`{text}`")).alias("terms"),
-    )
+    ), "terms")
     figures = rows.agg(
         F.count(F.when(F.size("terms") > 0, 1)).alias("N"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("L")
     ).first()
@@ -200,8 +238,10 @@ def rank(
         "postings",
     )
     total = stored.count()
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / SHARD_POSTINGS))
-    sharded = stored.withColumn("shard", F.pmod(F.xxhash64("doc_id", "thash"), F.lit(shards)))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    shards = max(tasks, math.ceil(total / SHARD_POSTINGS))
+    # a repartition by number keeps the shards apart (adaptive execution does not merge it)
+    sharded = stored.withColumn("shard", F.pmod(F.xxhash64("doc_id", "thash"), F.lit(shards))).repartition(shards, "shard")
 
     found = None
     for block in _blocks(asked):
