@@ -10,7 +10,8 @@ descending score and ascending document, so the search stops after ``k``. Shards
 the best ``k`` of those are the answer.
 
 Only postings of terms that some query holds are kept (a semi join with the queries' terms), and the
-corpus figures N, L and df count all rows. Shards are sized so that each holds a bounded number of
+corpus figures N, L and df count all rows. Terms are extracted twice (for N and L, then for postings) rather than stored, which
+would cost disk the size of the texts. Shards are sized so that each holds a bounded number of
 postings; queries reach the shards in blocks of a bounded number of terms.
 
 Defined results:
@@ -191,12 +192,12 @@ def rank(
 ) -> DataFrame:
     """``item_id, rank, doc_id, score``: every item's ``k`` best documents with a score above 0."""
     spark = documents.sparkSession
-    rows = settle(documents.select(
+    rows = documents.select(
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0)).alias("doc_id"),
         F.col(f"`{doc_id}`").isNotNull().alias("has_doc"),
         F.xxhash64(F.col(f"`{text}`")).alias("thash"),
         terms(F.col(f"`{text}`")).alias("terms"),
-    ), "terms")
+    )
     figures = rows.agg(
         F.count(F.when(F.size("terms") > 0, 1)).alias("N"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("L")
     ).first()
