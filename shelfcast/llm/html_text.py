@@ -52,11 +52,17 @@ DROPPED_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
 DROPPED_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs captcha comment comments "
+    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs captcha comment commentlist comments "
     "consent cookie cookies copyright disclaimer disqus footer gdpr login menu modal nav navbar navigation newsletter "
     "notice notices notification pagination pager popup promo promotion recommended related respond share sharing "
     "sidebar signup social sponsor sponsored subscribe subscription tags toolbar widget".split()
 )
+# The words of DROPPED_WORDS that name reader comments, notices and adverts; these go at any size.
+EXCLUDED_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense captcha comment commentlist comments consent cookie cookies "
+    "disqus gdpr modal newsletter notice notices notification popup promo promotion respond signup sponsor sponsored "
+    "subscribe subscription".split()
+)
 #: Words that a class or id of boilerplate may have besides.
 NEUTRAL_WORDS = frozenset(
     "area bar bottom box block button buttons container global inner item items left link links list main outer page primary "
@@ -77,34 +83,39 @@ _WORD = re.compile(r"[a-z]+")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def is_boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether the element is boilerplate for certain, and whether it is by its name or as a form."""
+def is_boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether the element is boilerplate for certain, whether by a layout name or as a form, and whether by a
+    name of reader comments, notices or adverts (such a name decides inside an article too)."""
     if tag in DROPPED or tag == "header" and not in_article:
-        return True, False
-    named = tag == "form"
+        return True, False, False
+    named, excluded = tag == "form", False
     if not attributes:
-        return False, named
+        return False, named, False
     for name, value in _NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True, False
+            return True, False, False
         if name == "style" and _HIDING.search(value):
-            return True, False
+            return True, False, False
         if tag in KEPT:
             continue
         if name == "role" and value in DROPPED_ROLES:
-            return True, False
+            return True, False, False
         if name in ("class", "id"):
-            named = named or any(_names_boilerplate(token, in_article) for token in value.split())
-    return False, named
+            for token in value.split():
+                words = _names_boilerplate(token, in_article)
+                excluded = excluded or bool(words & EXCLUDED_WORDS)
+                named = named or bool(words)
+    return False, named and not excluded, excluded
 
 
-def _names_boilerplate(token: str, in_article: bool) -> bool:
+def _names_boilerplate(token: str, in_article: bool) -> frozenset[str]:
+    """The boilerplate words of a whole class or id token, if all its other words are neutral; else none."""
     rest = set(_WORD.findall(token)) - NEUTRAL_WORDS
     if not in_article:
         rest.discard("header")
     found = bool(rest) or not in_article and "header" in token
-    return found and rest <= DROPPED_WORDS
+    return frozenset(rest) if found and rest <= DROPPED_WORDS else frozenset()
 
 
 class Page:
@@ -112,12 +123,15 @@ class Page:
 
     ``parents``, ``tags`` and ``ends`` (one past the subtree) describe the nodes; ``runs`` holds the
     texts as ``(node, block, text)``, where a block is what lies between two block boundaries. ``named`` are the
-    nodes that are boilerplate by name only; once all is read, they are ``dropped`` if they are minor."""
+    nodes that are boilerplate by a layout name or as forms; once all is read, they are ``dropped`` if they are minor.
+    ``excluded`` are the nodes named as reader comments, notices or adverts: they go at any size, unless nothing
+    would be left of the page."""
 
     def __init__(self, source: str):
         self.tags, self.parents, self.ends, self.dropped = ["body"], [-1], [0], [False]
         self.runs: list[tuple[int, int, str]] = []
         self.named: list[int] = []
+        self.excluded: list[int] = []
         self._block = 0
         self._stack = [0]
         self._articles = 0
@@ -127,12 +141,13 @@ class Page:
         self.linked = [False] * len(self.tags)
         for node in range(1, len(self.tags)):
             self.linked[node] = self.tags[node] == "a" or self.linked[self.parents[node]]
-        if self.named:
+        if self.named or self.excluded:
             self._drop_named()
 
     def _drop_named(self) -> None:
-        """Drop the named subtrees, but keep those with most of the page's text outside links, unless the
-        article is plain to see beside them; if no text were left, keep all."""
+        """Drop the subtrees of comments, notices and adverts, and the layout-named subtrees, but keep the latter
+        if they hold most of the page's text outside links, unless the article is plain to see beside them;
+        if no text were left, keep all."""
         n = len(self.tags)
         plain = [0] * n
         for node, _, text in self.runs:
@@ -142,7 +157,7 @@ class Page:
         for node in range(n - 1, 0, -1):
             plain[self.parents[node]] += plain[node]
         major = {node for node in self.named if 2 * plain[node] > plain[0]}
-        minor = set(self.named) - major
+        minor = set(self.named) - major | set(self.excluded)
         inside = [False] * n  # a minor subtree
         for node in range(1, n):
             inside[node] = node in minor or inside[self.parents[node]]
@@ -163,10 +178,12 @@ class Page:
         self.tags.append(tag)
         self.parents.append(parent)
         self.ends.append(node + 1)
-        certain, named = is_boilerplate(tag, attributes, self._articles > 0)
+        certain, named, excluded = is_boilerplate(tag, attributes, self._articles > 0)
         self.dropped.append(self.dropped[parent] or certain)
         if named:
             self.named.append(node)
+        if excluded:
+            self.excluded.append(node)
         self._stack.append(node)
         self._articles += tag == "article"
 
