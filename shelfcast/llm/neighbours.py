@@ -49,7 +49,10 @@ class Coder:
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    """Rows of finite, non-zero vectors scaled to length 1; divided by their largest absolute component first,
+    so that neither the squares of very large nor of very small components leave the range of doubles."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
 def learn_rotation(centred: np.ndarray, rng: np.random.Generator, steps: int = 20) -> np.ndarray:

@@ -398,3 +398,15 @@ def test_pipeline_against_its_parts(spark, texts):
     firsts = components({i: simhash.fingerprint(texts[i]) for i in good}, 2)
     leaks = {r.doc_id for r in run(spark, "op2_")}
     assert packed_ids == {i for i in good if firsts[i] == i} - leaks
+
+
+def test_neighbours_extreme_components(spark):
+    """Very large and very small finite components neither overflow nor underflow the cosine."""
+    rows = [(50, [1e200, 1e200]), (1, [1.0, 1.0]), (2, [1e-200, 1e-200]), (3, [1.0, -1.0]), (100, [-1e-300, 1e-300])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.nearest_neighbours(frame).collect())
+    assert [(q, k, v) for q, k, v, _ in found] == [(50, 1, 1), (50, 2, 2), (50, 3, 3), (50, 4, 100), (100, 1, 1), (100, 2, 2), (100, 3, 50), (100, 4, 3)]
+    scores = {(q, v): s for q, _, v, s in found}
+    assert scores[(50, 1)] == pytest.approx(1.0) and scores[(50, 2)] == pytest.approx(1.0)
+    assert scores[(50, 3)] == pytest.approx(0.0, abs=1e-12) and scores[(50, 100)] == pytest.approx(0.0, abs=1e-12)
+    assert scores[(100, 3)] == pytest.approx(-1.0) and scores[(100, 50)] == pytest.approx(0.0, abs=1e-12)
