@@ -11,6 +11,8 @@ of its length by a salted distributed count and looks up its run; pieces never l
 
 from __future__ import annotations
 
+import json
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -37,11 +39,13 @@ class WordIds(dict):
         self.encode, self.limit = encode, limit
 
     def __missing__(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in ".," and word[-2].isalpha() and word.isascii() and "<|" not in word:
-            return self[word[:-1]] + self[word[-1]]
-        if word.isascii() and word.isalpha() and not word.islower():
+        core = word.rstrip(MARKS)
+        if len(core) < len(word) and plain_letters(core):
+            ids = self[core] + self[word[len(core) :]]
+        elif word.isascii() and word.isalpha() and not word.islower():
             return self[word.lower()]
-        ids = self.encode(word)
+        else:
+            ids = self.encode(word)
         if len(word) <= 40:
             if len(self) >= self.limit:
                 self.clear()
@@ -50,17 +54,59 @@ class WordIds(dict):
         return ids
 
 
+#: Signs that end a run of letters and form a run of their own.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Normalizer and pre-tokenizer of the tokenizers whose words of letters go to the model directly.
+LOWER_CASE = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+LETTER_RUNS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def plain_letters(word: str) -> bool:
+    """Whether ``word`` is Latin-1 letters only: lower-cased one by one, never composed, one run."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0100")
+
+
+def byte_characters() -> list[str]:
+    """The character that byte-level tokenizers write for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
+def word_encoder(tokenizer) -> Callable[[str], bytes]:
+    """Ids of one word. A word of plain letters goes to the tokenizer's model directly, if its normalizer and
+    pre-tokenizer would only lower-case it and write its bytes as characters; others take every step."""
+    made = json.loads(tokenizer.to_str())
+    cuts = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}, {}])
+    direct = (
+        (made["normalizer"] or {}).get("normalizers") == LOWER_CASE
+        and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0]["pattern"] == {"Regex": LETTER_RUNS}
+        and cuts[0]["invert"]
+        and not cuts[1]["add_prefix_space"] | cuts[1]["use_regex"]
+        and not made["post_processor"]
+        and all(not plain_letters(t["content"]) and "<" in t["content"] for t in made["added_tokens"])
+    )
+    model, shown = tokenizer.model, byte_characters()
+
+    def encode(word: str) -> bytes:
+        if direct and plain_letters(word):
+            low = word.lower()
+            if not low.isascii():
+                low = "".join([shown[b] for b in low.encode()])
+            ids = [t.id for t in model.tokenize(low)]
+        else:
+            ids = tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    return encode
+
+
 @lru_cache(maxsize=2)
 def lower_word_ids(path: str) -> Callable[[str], bytes]:
     """Little-endian 32-bit ids of a whole text by a tokenizer that lower-cases and drops white
     space; kept by the worker from task to task."""
-    tokenizer = load_tokenizer(path)
-
-    def encode(word: str) -> bytes:
-        ids = tokenizer.encode(word, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
-
-    words = WordIds(encode)
+    words = WordIds(word_encoder(load_tokenizer(path)))
     return lambda text: b"".join(map(words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
