@@ -1,18 +1,18 @@
 """Ranked lexical search: integer BM25-like scores, top documents by best-first search over range maxima.
 
-Documents are dealt to shards by a hash. Inside a shard every posting list (the documents of one term,
+Documents are dealt to shards. Inside a shard every posting list (the documents of one term,
 in document order, with their impact ``w * ((10**9 * tf) div (1000 * tf + 12 * m))``) gets a sparse
 table of range maxima. A query searches the shard's document range best first: the bound of an interval
 is the sum, over the query's terms with their repeats, of each list's maximum inside it. The interval with
-the highest bound is split at the document of its largest single contribution; that document's exact
-score is the sum of its own impacts. Popping in (bound, first document) order yields documents by
-descending score and ascending document, so the search stops after ``k``. Shards return their ``k`` best;
-the best ``k`` of those are the answer.
+the highest bound is split at the block (``LEAF`` documents) of its largest single contribution; a block
+whose bound comes up has its documents scored exactly, from their own impacts. Popping in (bound, first
+document) order yields documents by descending score and ascending document, so the search stops after
+``k``. Shards return their ``k`` best; the best ``k`` of those are the answer.
 
-Only postings of terms that some query holds are kept (a semi join with the queries' terms), and the
-corpus figures N, L and df count all rows. Terms are extracted twice (for N and L, then for postings) rather than stored, which
-would cost disk the size of the texts. Shards are sized so that each holds a bounded number of
-postings; queries reach the shards in blocks of a bounded number of terms.
+A document's terms are counted inside its row, in one pass over the texts: only the numbers and counts of
+terms that some query holds leave it, and the number of all its terms. N, L and df count all rows. Shards are
+sized so that each holds a bounded number of postings; queries are taken in blocks of a bounded number of
+terms, each block in a pass of its own.
 
 Defined results:
 
@@ -29,12 +29,17 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm.common import text_blocks
 from shelfcast.session import settle
 
 #: Fixed values of the contract: the term pattern and the scoring constants.
@@ -43,6 +48,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Postings per shard, on average, and query terms per block.
 SHARD_POSTINGS = 2_000_000
 BLOCK_TERMS = 200_000
+#: Documents scored at once when an interval has come down to them.
+LEAF = 512
+#: Bytes of a text that are cut into terms at once.
+SLICE = 1 << 22
 
 
 def terms(text: F.Column) -> F.Column:
@@ -50,29 +59,75 @@ def terms(text: F.Column) -> F.Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(TERM), 0)
 
 
+def byte_map() -> bytes:
+    """UTF-8 bytes as ``terms`` sees them: A-Z lower-cased, bytes of no term a blank."""
+    kept = [b > 0x7F or chr(b).isalnum() for b in range(256)]
+    return bytes(ord(chr(b).lower()) if b < 0x80 and kept[b] else b if kept[b] else 0x20 for b in range(256))
+
+
+def words_of(text: bytes, marks: bytes, size: int = SLICE) -> Iterator[list[bytes]]:
+    """The terms of a text as lists of bounded length."""
+    text, at = text.translate(marks), 0
+    while at < len(text):
+        end = text.find(b" ", at + size)
+        end = len(text) if end < 0 else end
+        yield text[at:end].split()
+        at = end
+
+
+def _term_counts(vocabulary: dict[bytes, int]) -> Callable:
+    """The function every task of the texts runs: a row for each document with terms, holding the numbers and
+    counts of those in ``vocabulary``. ``lot`` numbers the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, number, lot = byte_map(), vocabulary.get, TaskContext.get().partitionId() << 36
+        for part, texts in text_blocks(batches, "text"):
+            rows, sizes, codes, counts, ends = [], [], [], [], [0]
+            for row, text in enumerate(texts):
+                held, n = Counter(), 0
+                for words in words_of(text or b"", marks):
+                    n += len(words)
+                    held.update(map(number, words))
+                if not n:
+                    continue
+                held.pop(None, None)
+                rows.append(row)
+                sizes.append(n)
+                codes.extend(held)
+                counts.extend(held.values())
+                ends.append(len(codes))
+            lots = pa.array(range(lot, lot := lot + len(rows)), pa.int64())
+            ends = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (codes, counts)]
+            own = part.select(["doc_id", "has_doc"]).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*own.columns, lots, pa.array(sizes, pa.int64()), *lists],
+                names=["doc_id", "has_doc", "lot", "n", "codes", "counts"],
+            )
+
+    return run
+
+
 class RangeMax:
-    """Sparse table of one posting list: the position of the largest impact in any range, lowest on ties."""
+    """Sparse table of posting lists end to end: the position of the largest impact in any range, lowest on
+    ties. ``longest`` is the length of the longest range asked for (by default, of all impacts)."""
 
-    def __init__(self, impacts: np.ndarray):
+    def __init__(self, impacts: np.ndarray, longest: int | None = None):
         self.impacts = impacts
-        levels = [np.arange(len(impacts))]
-        span = 1
-        while 2 * span <= len(impacts):
-            prev = levels[-1]
-            left, right = prev[: len(impacts) - 2 * span + 1], prev[span : len(impacts) - span + 1]
-            levels.append(np.where(impacts[right] > impacts[left], right, left))
-            span *= 2
-        self.levels = levels
+        n = len(impacts)
+        depth = max(min(longest or n, n), 1).bit_length()
+        self.levels = np.zeros((depth, n), dtype=np.int32)
+        self.levels[0] = np.arange(n)
+        for j in range(1, depth):
+            span, prev = 1 << (j - 1), self.levels[j - 1]
+            left, right = prev[: n - 2 * span + 1], prev[span : n - span + 1]
+            self.levels[j, : n - 2 * span + 1] = np.where(impacts[right] > impacts[left], right, left)
 
     def many(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """``best`` of many ranges at once."""
         j = np.frexp((b - a).astype(np.float64))[1] - 1
-        found = np.empty(len(a), dtype=np.int64)
-        for level in np.unique(j):
-            m = j == level
-            left, right = self.levels[level][a[m]], self.levels[level][b[m] - (1 << int(level))]
-            found[m] = np.where(self.impacts[right] > self.impacts[left], right, left)
-        return found
+        left, right = self.levels[j, a], self.levels[j, b - (1 << j.astype(np.int64))]
+        return np.where(self.impacts[right] > self.impacts[left], right, left)
 
     def best(self, a: int, b: int) -> int:
         """Position of the largest impact in ``[a, b)``, which must not be empty."""
@@ -102,19 +157,27 @@ def search(lists: list[tuple[int, np.ndarray, RangeMax]], documents: int, k: int
     return best_first(bound, documents, k)
 
 
-def best_first(bound, documents: int, k: int) -> list[tuple[int, int]]:
-    """Pop intervals by (bound, first document); split one at the document of its largest contribution."""
+def best_first(bound, documents: int, k: int, leaf: int = 1, score=None) -> list[tuple[int, int]]:
+    """Pop intervals by (bound, first document); split one at the block of ``leaf`` documents that holds its
+    largest contribution. A popped block gives way to its ``k`` best documents, by their exact scores."""
     found: list[tuple[int, int]] = []
     first, at = bound(0, documents)
     heap = [(-first, 0, documents, at)]
     while heap and len(found) < k:
-        score, lo, hi, at = heapq.heappop(heap)
-        if -score <= 0:
+        value, lo, hi, at = heapq.heappop(heap)
+        if -value <= 0:
             break
         if hi - lo == 1:
-            found.append((lo, -score))
+            found.append((lo, -value))
+            continue
+        if hi - lo <= leaf:
+            exact = score(lo, hi)
+            for i in np.argsort(-exact, kind="stable")[:k].tolist():
+                if exact[i] > 0:
+                    heapq.heappush(heap, (-int(exact[i]), lo + i, lo + i + 1, lo + i))
             continue
-        for a, b in ((lo, at), (at, at + 1), (at + 1, hi)):
+        cut = at - at % leaf
+        for a, b in ((lo, cut), (cut, min(cut + leaf, hi)), (cut + leaf, hi)):
             if a < b:
                 s, m = bound(a, b)
                 if s > 0:
@@ -127,56 +190,68 @@ class ShardIndex:
     range maxima; a query's bound over an interval takes all its terms in a few array operations."""
 
     def __init__(self, term: np.ndarray, at: np.ndarray, impacts: np.ndarray, documents: int):
-        self.documents = documents
+        self.documents, self.at, self.impacts = documents, at, impacts
         self.key = term.astype(np.int64) * documents + at
-        self.rmq = RangeMax(impacts)
+        self.rmq = RangeMax(impacts, documents)
 
-    def search(self, terms: np.ndarray, repeats: np.ndarray, k: int) -> list[tuple[int, int]]:
+    def search(self, terms: np.ndarray, repeats: np.ndarray, k: int, leaf: int = LEAF) -> list[tuple[int, int]]:
         base = terms.astype(np.int64) * self.documents
 
-        def bound(lo: int, hi: int) -> tuple[int, int]:
+        def ranges(lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             a, b = np.searchsorted(self.key, base + lo), np.searchsorted(self.key, base + hi)
             live = a < b
-            if not live.any():
+            return a[live], b[live], repeats[live]
+
+        def bound(lo: int, hi: int) -> tuple[int, int]:
+            a, b, times = ranges(lo, hi)
+            if not len(a):
                 return 0, -1
-            p = self.rmq.many(a[live], b[live])
-            part = repeats[live] * self.rmq.impacts[p]
-            top = int(np.argmax(part))
-            return int(part.sum()), int(self.key[p[top]] - base[live][top])
-
-        return best_first(bound, self.documents, k)
-
-
-def _shard_search(k: int, queries: dict):
-    """The function every shard runs: range maxima of its posting lists, then every query."""
-
-    def run(key, postings: pd.DataFrame) -> pd.DataFrame:
-        out = {"item_id": [], "has_item": [], "doc_id": [], "has_doc": [], "score": [], "thash": [], "copy": []}
-        if postings.empty:
-            return pd.DataFrame(out)
-        docs = postings[["has_doc", "doc_id", "thash", "mult"]].drop_duplicates()
-        docs = docs.sort_values(["has_doc", "doc_id", "thash"], ascending=[False, True, True]).reset_index(drop=True)
-        placed = postings.merge(docs.assign(at=np.arange(len(docs))), on=["has_doc", "doc_id", "thash", "mult"])
-        code, names = pd.factorize(placed["term"])
-        order = np.lexsort((placed["at"].to_numpy(), code))
-        index = ShardIndex(code[order], placed["at"].to_numpy()[order], placed["impact"].to_numpy(dtype=np.int64)[order], len(docs))
-        number = {t: i for i, t in enumerate(names)}
-        for (has_item, item_id), asked in queries.items():
-            held = [(number[t], q) for t, q in asked if t in number]
-            if not held:
-                continue
-            found = index.search(np.array([t for t, _ in held]), np.array([q for _, q in held], dtype=np.int64), k)
-            taken = 0
-            for i, score in found:
-                for c in range(int(docs.mult[i])):
-                    if taken == k:
-                        break
-                    taken += 1
-                    for name, v in zip(out, (item_id, has_item, docs.doc_id[i], docs.has_doc[i], score, docs.thash[i], c), strict=True):
-                        out[name].append(v)
-                if taken == k:
-                    break
-        return pd.DataFrame(out)
+            p = self.rmq.many(a, b)
+            part = times * self.impacts[p]
+            return int(part.sum()), int(self.at[p[int(np.argmax(part))]])
+
+        def score(lo: int, hi: int) -> np.ndarray:
+            a, b, times = ranges(lo, hi)
+            held = b - a
+            p = np.repeat(a - (np.cumsum(held) - held), held) + np.arange(held.sum())
+            total = np.zeros(hi - lo, dtype=np.int64)
+            np.add.at(total, self.at[p] - lo, np.repeat(times, held) * self.impacts[p])
+            return total
+
+        return best_first(bound, self.documents, k, leaf, score)
+
+
+def _shard_search(k: int, queries: list, weights: np.ndarray, n_docs: int, n_terms: int) -> Callable:
+    """The function every shard runs: range maxima of its posting lists, then every query. ``queries`` holds
+    an item's key, the numbers of its terms and their repeats; ``weights`` the weight of every number."""
+    shape = [("item_id", pa.int64()), ("has_item", pa.bool_()), ("doc_id", pa.int64()), ("has_doc", pa.bool_()), ("score", pa.int64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        doc_id, has_doc, n = (rows.column(c).to_numpy() for c in ("doc_id", "has_doc", "n"))
+        order = np.lexsort((doc_id, ~has_doc))
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        held = pc.list_value_length(rows.column("codes")).to_numpy()
+        code = pc.list_flatten(rows.column("codes")).to_numpy()
+        tf = pc.list_flatten(rows.column("counts")).to_numpy().astype(np.int64)
+        m = np.repeat(75 + (25 * n * n_docs) // n_terms, held)
+        impact = weights[code] * ((1_000_000_000 * tf) // (1000 * tf + 12 * m))
+        at = np.repeat(place, held)
+        live = np.flatnonzero(impact)
+        live = live[np.lexsort((at[live], code[live]))]
+        if not len(live):
+            return
+        index = ShardIndex(code[live], at[live], impact[live], len(order))
+        doc_id, has_doc = doc_id[order], has_doc[order]
+        out = []
+        for (has_item, item_id), terms, repeats in queries:
+            out += [(item_id, has_item, int(doc_id[i]), bool(has_doc[i]), s) for i, s in index.search(terms, repeats, k)]
+        columns = zip(*out, strict=True) if out else [[] for _ in shape]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, shape, strict=True)], schema=pa.schema(shape))
 
     return run
 
@@ -195,63 +270,23 @@ def rank(
     rows = documents.select(
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0)).alias("doc_id"),
         F.col(f"`{doc_id}`").isNotNull().alias("has_doc"),
-        F.xxhash64(F.col(f"`{text}`")).alias("thash"),
-        terms(F.col(f"`{text}`")).alias("terms"),
+        F.col(f"`{text}`").cast("string").cast("binary").alias("text"),
     )
-    figures = rows.agg(
-        F.count(F.when(F.size("terms") > 0, 1)).alias("N"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("L")
-    ).first()
-    n_docs, n_terms = int(figures["N"]), int(figures["L"])
     items = benchmark.select(
         F.col(f"`{item_id}`").cast("long").alias("item_id"), terms(F.col(f"`{item_text}`")).alias("terms")
     ).dropDuplicates(["item_id", "terms"])
-    asked = settle(
-        items.select("item_id", F.posexplode("terms").alias("i", "term")).groupBy("item_id", "term").agg(F.count("i").alias("q")),
-        "asked",
-    )
-    vocabulary = asked.select("term").distinct()
-    schema = "item_id long, has_item boolean, doc_id long, has_doc boolean, score long, thash long, copy int"
-    if n_docs == 0 or asked.limit(1).count() == 0:
-        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-
-    key = ["has_doc", "doc_id", "thash"]
-    mult = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("mult"), F.first(F.size("terms")).alias("n"))
-    counted = (
-        rows.select(*key, F.explode("terms").alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .groupBy(*key, "term")
-        .agg(F.count(F.lit(1)).alias("tf_all"))
-    )
-    postings = counted.join(mult, key).withColumn("tf", (F.col("tf_all") / F.col("mult")).cast("long"))
-    df_terms = postings.groupBy("term").agg(F.sum("mult").alias("df"))
-    weights = df_terms.select(
-        "term",
-        F.floor(F.lit(1000.0) * F.log((2.0 * n_docs + 2) / (2.0 * F.col("df") + 1))).cast("long").alias("w"),
-    )
-    m = F.lit(75) + F.expr(f"(25 * n * {n_docs}L) div {n_terms}L")
-    impact = F.col("w") * F.expr("(1000000000L * tf) div (1000L * tf + 12L * m)")
-    stored = settle(
-        postings.join(weights, "term")
-        .withColumn("m", m)
-        .select(
-            "term", "doc_id", "has_doc", "thash", "mult", impact.alias("impact"),
-        ),
-        "postings",
-    )
-    total = stored.count()
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    shards = max(tasks, math.ceil(total / SHARD_POSTINGS))
-    # a repartition by number keeps the shards apart (adaptive execution does not merge it)
-    sharded = stored.withColumn("shard", F.pmod(F.xxhash64("doc_id", "thash"), F.lit(shards))).repartition(shards, "shard")
+    asked = items.select("item_id", F.posexplode("terms").alias("i", "term")).groupBy("item_id", "term").agg(F.count("i").alias("q"))
 
     found = None
     for block in _blocks(asked):
-        part = sharded.groupBy("shard").applyInPandas(_shard_search(k, block), schema)
+        part = _ask(rows, block, k)
+        if part is None:
+            break
         found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     order = F.row_number().over(
-        Window.partitionBy("has_item", "item_id").orderBy(
-            F.col("score").desc(), F.col("has_doc").desc(), "doc_id", "thash", "copy"
-        )
+        Window.partitionBy("has_item", "item_id").orderBy(F.col("score").desc(), F.col("has_doc").desc(), "doc_id")
     )
     best = found.withColumn("rank", order).where(F.col("rank") <= k)
     return best.select(
@@ -262,6 +297,43 @@ def rank(
     )
 
 
+def _ask(rows: DataFrame, block: dict, k: int) -> DataFrame | None:
+    """Every shard's best documents for the items of a block; None if no document has a term."""
+    spark = rows.sparkSession
+    number: dict[str, int] = {}
+    for asked in block.values():
+        for term, _ in asked:
+            number.setdefault(term, len(number))
+    counted = rows.mapInArrow(
+        _term_counts({term.encode(): i for term, i in number.items()}),
+        "doc_id long, has_doc boolean, lot long, n long, codes array<int>, counts array<int>",
+    )
+    stored = settle(counted, "postings")
+    figures = stored.agg(
+        F.count(F.lit(1)).alias("N"), F.sum("n").alias("L"), F.sum(F.size("codes").cast("long")).alias("postings")
+    ).first()
+    n_docs, n_terms = int(figures["N"]), int(figures["L"] or 0)
+    if n_docs == 0:
+        return None
+    df = stored.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("df"))
+    w = F.floor(F.lit(1000.0) * F.log((2.0 * n_docs + 2) / (2.0 * F.col("df") + 1))).cast("long")
+    weights = np.zeros(len(number), dtype=np.int64)
+    for found in df.select("code", w.alias("w")).collect():  # one row per term of the block
+        weights[found["code"]] = found["w"]
+    queries = [
+        (key, np.array([number[t] for t, _ in asked], dtype=np.int64), np.array([q for _, q in asked], dtype=np.int64))
+        for key, asked in block.items()
+    ]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    shards = max(tasks, math.ceil(int(figures["postings"]) / SHARD_POSTINGS))
+    # every partition is a shard; one by number is not merged by adaptive execution
+    dealt = stored.where(F.size("codes") > 0).repartition(shards, "lot")
+    return dealt.mapInArrow(
+        _shard_search(k, queries, weights, n_docs, n_terms),
+        "item_id long, has_item boolean, doc_id long, has_doc boolean, score long",
+    )
+
+
 def _blocks(asked: DataFrame):
     """The queries' terms as dictionaries of at most about ``BLOCK_TERMS`` terms, item by item."""
     block: dict = {}
