@@ -23,6 +23,8 @@ from shelfcast.session import settle, shared_dir
 TARGET = "sales"
 NOT_FEATURES = ("sales", "date", "id")
 CONSTANT_FORECAST = 10.0
+#: Rows a training task holds: at least so many before another task is worth its jobs, and never more than so many.
+TASK_ROWS, MOST_TASK_ROWS = 50_000, 500_000
 
 
 # --- folds --------------------------------------------------------------------------------------
@@ -84,13 +86,24 @@ def regressor(
     )
 
 
+def training_tasks(rows: int, cores: int) -> int:
+    """Partitions of a training table: boosting runs two stages for every level of every tree, so its time and what
+    its tasks report to the driver grow with the partitions of the table, not only with its rows."""
+    return max(min(-(-rows // TASK_ROWS), cores), -(-rows // MOST_TASK_ROWS), 1)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` in evenly filled partitions, as many as its rows need, whatever files or folds it comes from."""
+    return df.repartition(training_tasks(df.count(), df.sparkSession.sparkContext.defaultParallelism))
+
+
 def train(
     df: DataFrame, features: Sequence[str], gbt: GBTRegressor | None = None
 ) -> PipelineModel:
     if not df.sparkSession.sparkContext.getCheckpointDir():
         df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, gbt or regressor()]).fit(df)
+    return Pipeline(stages=[assembler, gbt or regressor()]).fit(dealt(df))
 
 
 def best_round(errors: Sequence[float], patience: int) -> int:
