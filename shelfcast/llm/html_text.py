@@ -112,10 +112,8 @@ def is_boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, b
 def _names_boilerplate(token: str, in_article: bool) -> frozenset[str]:
     """The boilerplate words of a whole class or id token, if all its other words are neutral; else none."""
     rest = set(_WORD.findall(token)) - NEUTRAL_WORDS
-    if not in_article:
-        rest.discard("header")
-    found = bool(rest) or not in_article and "header" in token
-    return frozenset(rest) if found and rest <= DROPPED_WORDS else frozenset()
+    known = DROPPED_WORDS if in_article else DROPPED_WORDS | {"header"}
+    return frozenset(rest) if rest <= known else frozenset()
 
 
 class Page:

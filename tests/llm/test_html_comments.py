@@ -1,5 +1,6 @@
 """op3: reader comments, notices and adverts go at any size; the article stays (pure Python, no Spark)."""
 
+from shelfcast.llm import html_text
 from shelfcast.llm.html_text import main_text
 
 ARTICLE = (
@@ -60,3 +61,11 @@ def test_whole_tokens_only():
     # 'no-comments' and 'related-story' are not boilerplate: 'no' and 'story' are no neutral words
     assert _has_article(main_text(f"<body><div class='no-comments'>{ARTICLE}</div></body>"))
     assert _has_article(main_text(f"<body><div class='related-story'>{ARTICLE}</div></body>"))
+
+
+def test_a_name_of_header_alone_is_a_layout_name():
+    """It goes by the size rule outside an article and stays inside one."""
+    assert html_text._names_boilerplate("site-header", False) == {"header"}
+    assert html_text._names_boilerplate("site-header", True) == frozenset()
+    assert html_text.is_boilerplate("div", " class='site-header'", False) == (False, True, False)
+    assert html_text._names_boilerplate("subheaders", False) == frozenset()
