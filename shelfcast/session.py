@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +62,13 @@ def remove_at_end(spark: SparkSession, path: str) -> None:
     """Have the file system drop an intermediate table when the driver ends."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
+def discard(df: DataFrame) -> None:
+    """Drop the files of a table that ``settle`` returned, once nothing reads it any more, and let Spark drop the
+    shuffle files of plans that are out of use."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(unquote(folder))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    spark._jvm.System.gc()
